@@ -7,6 +7,7 @@ from importlib import import_module
 #: Query name -> module of this subpackage that holds it; a module's SQL, if it has any, is its constant SQL.
 MODULES = {
     "op1_decontamination": "decontam",
+    "op2_simhash_dedup": "simhash",
 }
 
 

@@ -9,6 +9,7 @@ MODULES = {
     "op1_decontamination": "decontam",
     "op2_simhash_dedup": "simhash",
     "op8_packing": "packing",
+    "op10_language_id": "langid",
 }
 
 

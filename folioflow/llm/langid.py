@@ -25,7 +25,7 @@ from .common import pick
 #: Hash buckets of n-grams.
 BUCKETS = 8192
 #: Training texts per language at most.
-SAMPLE = 1500
+SAMPLE = 800
 CENTROIDS = 3
 #: A text is rejected below this share of the lowest cosine seen in training for texts of its length.
 REJECT = 0.5

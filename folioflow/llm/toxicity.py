@@ -27,11 +27,11 @@ SAMPLE = 2000
 #: Hash buckets of features.
 BUCKETS = 1 << 18
 #: Features that occur in fewer training documents carry no weight.
-RARE = 4
+RARE = 5
 THRESHOLD = 0.3
 #: Sentences that score at least this are reported as offending.
 SENTENCE_THRESHOLD = 0.3
-ROUNDS = 60
+ROUNDS = 200
 CACHE_WORDS = 300_000
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*\n?|[.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -63,16 +63,15 @@ def bag(text: str | None) -> list[np.ndarray]:
 
 @dataclass
 class Model:
-    weights: np.ndarray
+    weights: np.ndarray  # by feature bucket
     bias: float
-    prior: float  # log-odds between the labels' shares in the data and in the sample
 
     def sentence_scores(self, sums: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(sums + self.bias, -30, 30)))
 
 
 def noisy_or(p: np.ndarray) -> float:
-    return float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-9)).sum()))
+    return float(-np.expm1(np.log1p(-np.minimum(p.astype(np.float64), 1 - 1e-9)).sum()))
 
 
 def train(bags: list[list[np.ndarray]], labels: np.ndarray, rounds: int = ROUNDS) -> Model:
@@ -83,9 +82,9 @@ def train(bags: list[list[np.ndarray]], labels: np.ndarray, rounds: int = ROUNDS
             df[y, np.unique(np.concatenate(own))] += 1
     n = np.maximum([(labels == 0).sum(), (labels == 1).sum()], 1)
     odds = np.log((df[1] + 0.5) / (n[1] + 1)) - np.log((df[0] + 0.5) / (n[0] + 1))
-    live = (df.sum(axis=0) >= RARE) & (odds > 0.7)
+    live = (df.sum(axis=0) >= RARE) & (odds > 1.6)
     place = np.cumsum(live) - 1
-    w = odds[live] * 0.5
+    w = odds[live] * 0.6
     b = -5.0
     doc, feature, sentence, total = [], [], [], 0
     owner = []
@@ -115,7 +114,7 @@ def train(bags: list[list[np.ndarray]], labels: np.ndarray, rounds: int = ROUNDS
         # d(-log likelihood)/dz of a sentence: p for label 0, -p * none / (1 - none) for label 1
         factor = np.where(y > 0, -none / np.maximum(1 - none, 1e-9), 1.0)
         dz = factor[owner] * p
-        gw = np.bincount(feature, weights=dz[sentence], minlength=len(w)) / len(bags) + 1e-4 * w
+        gw = np.bincount(feature, weights=dz[sentence], minlength=len(w)) / len(bags) + 1e-5 * w
         gb = (dz.sum() + (factor * plain).sum() * base) / len(bags)
         m_w, v_w = 0.9 * m_w + 0.1 * gw, 0.99 * v_w + 0.01 * gw * gw
         m_b, v_b = 0.9 * m_b + 0.1 * gb, 0.99 * v_b + 0.01 * gb * gb
@@ -124,7 +123,7 @@ def train(bags: list[list[np.ndarray]], labels: np.ndarray, rounds: int = ROUNDS
         b = min(b - 0.15 * (m_b / c1) / (np.sqrt(v_b / c2) + 1e-8), -4.0)
     weights = np.zeros(BUCKETS, np.float32)
     weights[live] = w
-    return Model(weights, float(b), 0.0)
+    return Model(weights, float(b))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:

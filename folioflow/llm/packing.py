@@ -48,14 +48,19 @@ class Encoder:
     else; its last id is one whose entry ends in the end-of-word mark.
     """
 
-    WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+    LETTERS, DIGITS = "a-zªµºß-öø-ɏ", "0-9²³¹¼-¾"  # of plain lower-cased texts
+    WORDS = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\\s{LETTERS}{DIGITS}]+"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.known, self.cut = Tokenizer.from_file(path), {}, regex.compile(self.WORDS).findall
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.tokenizer, self.known, self.old, self.cut = Tokenizer.from_file(path), {}, {}, re.compile(self.WORDS).findall
+        self.bare = Tokenizer.from_file(path)  # merges only: for words that are lower-cased and cut already
+        self.bare.normalizer, self.bare.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.CharDelimiterSplit(" ")
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in the vocabulary
+        hidden = [b for b in range(256) if b not in shown]
+        self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)} | {32: " "}
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for word, i in self.tokenizer.get_vocab().items():
             self.ends[i] = word.endswith("</w>")
@@ -64,10 +69,12 @@ class Encoder:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: list[str]) -> None:
-        ids = np.frombuffer(self.plain(" ".join(words)), "<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1
+        text = " ".join(words).encode().decode("latin-1").translate(self.letters)
+        ids = np.asarray(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+        raw = ids.tobytes()
         if len(ends) == len(words):
-            self.known.update(zip(words, map(bytes, np.split(ids, ends[:-1])), strict=True))
+            self.known.update(zip(words, (raw[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
         else:
             self.known.update((w, self.plain(w)) for w in words)
 
@@ -75,11 +82,14 @@ class Encoder:
         """Ids as little-endian unsigned 32-bit integers; null is the empty text."""
         text = [(t or b"").decode() for t in texts]
         split = [None if PLAIN.search(t) else self.cut(t.lower()) for t in text]
-        every = set().union(*(w for w in split if w is not None))
-        new = every - self.known.keys()
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = every
+        new = set().union(*(w for w in split if w is not None)) - self.known.keys()
+        if len(self.known) + len(new) > CACHE_WORDS:  # words of the last generation that are still in use come back below
+            self.known, self.old = {}, self.known
+            new = set().union(*(w for w in split if w is not None))
+        if self.old:
+            again = new & self.old.keys()
+            self.known.update((w, self.old[w]) for w in again)
+            new -= again
         new = list(new)
         for i in range(0, len(new), 5000):
             self.learn(new[i : i + 5000])

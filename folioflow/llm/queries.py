@@ -8,6 +8,7 @@ from importlib import import_module
 MODULES = {
     "op1_decontamination": "decontam",
     "op2_simhash_dedup": "simhash",
+    "op3_warc": "warc",
     "op5_toxicity": "toxicity",
     "op8_packing": "packing",
     "op10_language_id": "langid",

@@ -10,6 +10,7 @@ MODULES = {
     "op2_simhash_dedup": "simhash",
     "op3_warc": "warc",
     "op5_toxicity": "toxicity",
+    "op6_quality_rules": "quality",
     "op7_chat_format": "chat",
     "op8_packing": "packing",
     "op10_language_id": "langid",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import sys
 import tempfile
@@ -53,11 +54,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: cuts the lineage and survives lost executors."""
+def materialize(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+    """Write a table to the shared folder and read it again: cuts the lineage and survives lost executors.
+
+    Afterwards the driver's garbage is collected, so that Spark removes shuffle files that nothing refers to any more.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
+    gc.collect()
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -124,8 +124,8 @@ def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
 SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host FROM documents),
 w AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM d),
-l AS (SELECT r, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS at FROM d),
-own AS (SELECT r, at, x, trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n FROM l WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
+l AS (SELECT r, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS pos FROM d),
+own AS (SELECT r, pos, x, trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n FROM l WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
 dup AS (SELECT r, count(*) - count(DISTINCT x) AS n_dup_lines FROM own GROUP BY r),
 win AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
 twice AS (SELECT r, i FROM win QUALIFY count(*) OVER (PARTITION BY r, s) > 1),

@@ -9,6 +9,7 @@ MODULES = {
     "op1_decontamination": "decontam",
     "op2_simhash_dedup": "simhash",
     "op3_warc": "warc",
+    "op4_line_dedup": "linededup",
     "op5_toxicity": "toxicity",
     "op6_quality_rules": "quality",
     "op7_chat_format": "chat",

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from .common import WORD_BYTES, chunks, materialize, pick, utf8
 
@@ -242,7 +243,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, slop: int = 0, block_by
     return found.select("doc_id", "n_words", n_hit.cast("long").alias("n_hit"), "spans", "items", "near_items")
 
 
-@F.udf("array<int>")
+@F.udf(ArrayType(IntegerType()))
 def _merged(spans):
     """Only for test sets of several blocks: the union of a document's spans over the blocks."""
     return [x for s in merged(list(zip(spans[::2], spans[1::2], strict=True))) for x in s]

@@ -14,6 +14,7 @@ MODULES = {
     "op6_quality_rules": "quality",
     "op7_chat_format": "chat",
     "op8_packing": "packing",
+    "op9_substring_dedup": "substrings",
     "op10_language_id": "langid",
 }
 

@@ -1,15 +1,73 @@
-"""The corpus pipeline: language ID, line dedup, near-duplicate removal, decontamination and packing."""
+"""The corpus pipeline: language ID, line dedup, near-duplicate removal, decontamination and packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a table; all but the last return the columns of documents. Texts
+that are only null or empty, null ids and empty tables have the results that the operators' docstrings state.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folioflow.llm import decontam, langid, linededup, packing, simhash
+from folioflow.llm.common import BROADCAST_BYTES, materialize, table
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that language identification does not reject; null labels are filled with its prediction."""
+    model = langid.fit(docs.where(~langid.held_out("doc_id")))
+    found = langid.identify(docs, model, tuple(c for c in docs.columns if c not in ("doc_id", "text")))
+    found = found.where(~F.col("rejected")).withColumn("lang", F.coalesce("lang", "lang_pred"))
+    return found.select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that repeat or nearly repeat earlier ones; all documents stay."""
+    found = linededup.dedup_lines(docs)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
+    return found.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each SimHash component; of rows that share that doc_id, one."""
+    kept = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    return _matching(docs, kept, "left_semi").dropDuplicates(["doc_id"])
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of whose words less than a twentieth lies in passages of the benchmark."""
+    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    leaks = found.where(decontam.contaminated(F.col("n_hit"), F.col("n_words"))).select("doc_id").distinct()
+    return _matching(docs, leaks, "left_anti")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining documents with their places in sequences of at most 4096 tokens."""
+    return packing.pack_documents(docs)
+
+
+def _matching(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """docs joined with a table of ids, which is broadcast only if its measured size allows."""
+    ids = materialize(ids.select(F.col("doc_id").alias("wanted_id")), "ids")
+    if ids.count() * 16 <= BROADCAST_BYTES:
+        ids = F.broadcast(ids)
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), how)
+
 
-STAGES: list = []
+STAGES = [
+    ("language_id", keep_known_languages),
+    ("line_dedup", drop_repeated_lines),
+    ("simhash_dedup", keep_one_of_near_copies),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
+]
+#: Nearest-centroid classification, fingerprint components and tokenisation are not expressible in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over the whole table of documents, each result written as Parquet and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, BROADCAST_BYTES, chunks, materialize, utf8
+from .common import ASCII_LOWER, chunks, materialize, utf8
 
 SPAN = 3
 MIN_WORDS = 10
@@ -81,20 +81,17 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 
     rows = materialize(docs.select("order", "text").mapInArrow(run, "order bigint, a bigint, b bigint"), "runs")
     first = rows.groupBy("a", "b").agg(F.min("order").alias("first"), F.max("order").alias("last")).where("first < last").drop("last")
-    first = materialize(first, "repeated")
-    if first.count() * 24 <= BROADCAST_BYTES:
-        first = F.broadcast(first)
-    return rows.join(first, ["a", "b"]).where(F.col("order") > F.col("first")).groupBy("order").agg(F.collect_set("a").alias("runs"))
+    return rows.join(materialize(first, "repeated").hint("merge"), ["a", "b"]).where(F.col("order") > F.col("first")).groupBy("order").agg(F.collect_set("a").alias("runs"))
 
 
 def dedup_passages(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, text, n_sentences, n_removed) for every row of docs (doc_id, text); row is the whole input row.
+    """(row, doc_id, text, n_sentences, n_removed) for every row of docs (doc_id, text); row holds the input row but for its text.
 
     Null and empty texts stay as they are, with no sentences. A null doc_id comes after all others. Rows that share a
     doc_id have no order: none of them loses a passage for another. Other columns, whatever their names, are only
     inside row.
     """
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row")
     base = docs.select(row, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("order"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     joined = base.join(repeated_runs(base), "order", "left").select("row", "doc_id", "text", "runs")
     schema = pa.schema([("text", pa.string()), ("n_sentences", pa.int64()), ("n_removed", pa.int64())])

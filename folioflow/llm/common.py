@@ -57,14 +57,19 @@ def remove_path(spark: SparkSession, path: str) -> None:
 def materialize(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write a table to the shared folder and read it again: cuts the lineage and survives lost executors.
 
-    Afterwards the driver's garbage is collected, so that Spark removes shuffle files that nothing refers to any more.
+    Before and after, the driver's garbage is collected, so that Spark removes shuffle files that nothing refers to.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    release(spark)
     df.write.option("compression", compression).parquet(path)
+    release(spark)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
     gc.collect()
     spark._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def worker_store(name: str) -> dict:

@@ -64,7 +64,15 @@ def materialize(df: DataFrame, label: str, compression: str = "snappy") -> DataF
     release(spark)
     df.write.option("compression", compression).parquet(path)
     release(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.scratch = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what materialize() wrote for tables that are no longer read."""
+    for t in tables:
+        remove_path(t.sparkSession, t.scratch)
 
 
 def release(spark: SparkSession) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import U, clean_basic, collapse_whitespace, drop_numbered_page_markers, squeeze_blank_lines, strip, sub
+from .text import U, clean_basic, collapse_whitespace, drop_numbered_page_markers, let, squeeze_blank_lines, strip, sub
 
 HEADER = "Ngữ cảnh"
 EXCERPT = "Trích đoạn từ "
@@ -53,23 +53,30 @@ def drop_context(text: Column) -> Column:
 
 def context(source: Column, text: Column) -> Column:
     """`Trích đoạn từ <source>: <first sentence or two>`, at most 200 characters on one line."""
-    flat = strip(sub(collapse_whitespace(text), rf"{U}^(?:[#*\-•]+|\d+[.)\s])+\s*"))
-    parts = F.split(flat, rf"{U}[.;!?]\s", 3)
-    first, second = strip(F.get(parts, 0)), strip(F.get(parts, 1))
-    idea = F.when((F.length(first) < 10) & second.isNotNull(), F.concat(first, F.lit(". "), second)).otherwise(first)
-    prefix = F.concat(F.lit(EXCERPT), source, F.lit(": "))
+    prefix, bare = F.concat(F.lit(EXCERPT), source, F.lit(": ")), F.concat(F.lit(EXCERPT), source)
     room = F.lit(LIMIT) - F.length(prefix)
-    short = F.substring(idea, F.lit(1), room - 3)
-    blank = F.length(short) - F.locate(" ", F.reverse(short))
-    at_word = F.when((F.locate(" ", F.reverse(short)) > 0) & (blank > F.floor((room - 3) / 2)), F.substring(short, F.lit(1), blank)).otherwise(short)
-    cut = F.concat(sub(at_word, r"[ ,;:\-]+\z"), F.lit("..."))
-    fitted = F.when(F.length(idea) <= room, idea).when(room <= 3, F.substring(idea, F.lit(1), room)).otherwise(cut)
-    bare = F.concat(F.lit(EXCERPT), source)
-    return F.when(flat == "", bare).when(room <= 0, F.substring(bare, 1, LIMIT)).otherwise(F.concat(prefix, fitted))
+
+    def idea(parts: Column) -> Column:
+        first, second = strip(F.get(parts, 0)), strip(F.get(parts, 1))
+        return F.when((F.length(first) < 10) & second.isNotNull(), F.concat(first, F.lit(". "), second)).otherwise(first)
+
+    def at_word(short: Column) -> Column:
+        blank = F.length(short) - F.locate(" ", F.reverse(short))
+        return F.when((F.locate(" ", F.reverse(short)) > 0) & (blank > F.floor((room - 3) / 2)), F.substring(short, F.lit(1), blank)).otherwise(short)
+
+    def fitted(own: Column) -> Column:
+        cut = F.concat(sub(let(F.substring(own, F.lit(1), room - 3), at_word), r"[ ,;:\-]+\z"), F.lit("..."))
+        return F.when(F.length(own) <= room, own).when(room <= 3, F.substring(own, F.lit(1), room)).otherwise(cut)
+
+    def whole(flat: Column) -> Column:
+        own = let(F.split(flat, rf"{U}[.;!?]\s", 3), lambda parts: let(idea(parts), fitted))
+        return F.when(flat == "", bare).when(room <= 0, F.substring(bare, 1, LIMIT)).otherwise(F.concat(prefix, own))
+
+    return let(strip(sub(collapse_whitespace(text), rf"{U}^(?:[#*\-•]+|\d+[.)\s])+\s*")), whole)
 
 
 def with_context(source: Column, text: Column) -> Column:
     """The cleaned text under exactly one context header."""
-    own = strip(drop_numbered_page_markers(clean_basic(drop_context(text))))
     bare = F.concat(F.lit(f"[{HEADER}: {EXCERPT}"), source, F.lit("]"))
-    return F.when(own == "", bare).otherwise(F.concat(F.lit(f"[{HEADER}: "), context(source, own), F.lit("]\n\n"), own))
+    headed = lambda own: F.when(own == "", bare).otherwise(F.concat(F.lit(f"[{HEADER}: "), context(source, own), F.lit("]\n\n"), own))
+    return let(strip(drop_numbered_page_markers(clean_basic(drop_context(text)))), headed)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import U, is_table_line, keep_lines, map_lines, most_frequent, strip, sub, words
+from .text import U, is_table_line, keep_lines, let, map_lines, most_frequent, strip, sub, words
 
 #: Academic titles of name lists.
 TITLES = ("GS.", "PGS.", "TS.", "ThS.", "BSCK", "BS.", "Giáo sư", "Phó Giáo sư", "Tiến sĩ", "Thạc sĩ")
@@ -66,13 +66,13 @@ def drop_dash_lines(text: Column) -> Column:
 
 def drop_repetitive_lines(text: Column) -> Column:
     """Without lines of over 20 words of which less than a tenth differ."""
-    return keep_lines(text, lambda x: ~((F.length(strip(x)) > 10) & (F.size(words(x)) > 20) & (F.size(F.array_distinct(words(x))) < 0.1 * F.size(words(x)))))
+    return keep_lines(text, lambda x: ~let(words(x), lambda w: (F.size(w) > 20) & (F.size(F.array_distinct(w)) < 0.1 * F.size(w))))
 
 
 def space_headings(text: Column) -> Column:
     """An empty line before every heading."""
-    lines = F.split(text, "\n")
-    return F.array_join(F.transform(lines, lambda x, i: F.when(x.rlike(rf"{U}^#{{1,6}}\s") & (i > 0) & (strip(F.get(lines, i - 1)) != ""), F.concat(F.lit("\n"), x)).otherwise(x)), "\n")
+    apart = lambda f: F.transform(f, lambda x, i: F.when(x.rlike(rf"{U}^#{{1,6}}\s") & (i > 0) & (strip(F.get(f, i - 1)) != ""), F.concat(F.lit("\n"), x)).otherwise(x))
+    return F.array_join(let(F.split(text, "\n"), apart), "\n")
 
 
 def split_bulleted_headings(text: Column) -> Column:
@@ -97,7 +97,7 @@ def unwrap_latex(text: Column) -> Column:
 
 def noise(text: Column) -> Column:
     """struct<image_links, footer_patterns, gibberish_lines>: counts of noise that cleaning left."""
-    gibberish = F.size(F.filter(F.split(text, "\n"), lambda x: (F.size(words(x)) >= 4) & (most_frequent(words(x)) >= 15)))
+    gibberish = F.size(F.filter(F.split(text, "\n"), lambda x: let(words(x), lambda w: (F.size(w) >= 15) & (most_frequent(w) >= 15))))
     images = F.regexp_count(text, F.lit(r"!\[[^\]]*\]\([^)]+\)"))
     footers = F.regexp_count(text, F.lit(rf"(?i){U}kcb[_.][^\n]+\d{{1,2}}\s*[:/]\s*\d{{1,2}}"))
     return F.struct(images.cast("bigint").alias("image_links"), footers.cast("bigint").alias("footer_patterns"), gibberish.cast("bigint").alias("gibberish_lines"))

@@ -24,6 +24,11 @@ def apply(docs: DataFrame, *changes: Callable[[Column], Column]) -> DataFrame:
     return reduce(lambda d, f: d.withColumn("text", f(F.col("text"))), changes, docs)
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value) with value evaluated once; what a lambda of an array function refers to is otherwise evaluated for each element."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def strip(text: Column) -> Column:
     """Without white space of any kind at both ends."""
     return sub(text, rf"{U}^\s+|\s+\z")
@@ -89,8 +94,14 @@ def drop_long_separators(text: Column) -> Column:
 
 
 def most_frequent(items: Column) -> Column:
-    """How often the most frequent element of an array occurs; 0 if it is empty."""
-    return F.coalesce(F.array_max(F.transform(F.array_distinct(items), lambda t: F.size(F.filter(items, lambda x: x == t)))), F.lit(0))
+    """How often the most frequent element of an array of strings occurs; 0 if it is empty. Sorts once and counts runs."""
+    start = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("most"))
+
+    def step(s: Column, x: Column) -> Column:
+        run = F.when(x.eqNullSafe(s.last), s.run + 1).otherwise(F.lit(1))
+        return F.struct(x.alias("last"), run.alias("run"), F.greatest(s.most, run).alias("most"))
+
+    return F.aggregate(F.sort_array(items), start, step, lambda s: s.most)
 
 
 def pairs(items: Column) -> Column:
@@ -104,13 +115,19 @@ ORDINARY = r"[a-zA-ZÀ-ỹ0-9\s.,;:!?\-()\[\]{}|+=*/#@%&\"'`~<>]"
 
 def is_gibberish(line: Column) -> Column:
     """A word 30 times, a word pair 20 times, three different words among more than ten, or a long line of odd characters."""
-    own = strip(line)
-    w = words(own)
-    n = F.size(w)
-    odd = F.length(sub(own, U + ORDINARY)) > 0.4 * F.length(own)
-    long_line = (F.length(own) > 120) & (odd | own.rlike("(?i)deo da la la companya") | own.rlike(r"([^\s])\1{10,}"))
-    repeats = (most_frequent(w) >= 30) | ((n >= 6) & (most_frequent(pairs(w)) >= 20)) | ((F.size(F.array_distinct(w)) <= 3) & (n > 10))
-    return (n >= 4) & (repeats | long_line)
+
+
+    def judged(own: Column) -> Column:
+        odd = F.length(sub(own, U + ORDINARY)) > 0.4 * F.length(own)
+        long_line = (F.length(own) > 120) & (odd | own.rlike("(?i)deo da la la companya") | own.rlike(r"([^\s])\1{10,}"))
+        return let(words(own), lambda w: (F.size(w) >= 4) & (repeats(w) | long_line))
+
+    def repeats(w: Column) -> Column:
+        n = F.size(w)
+        few = (n > 10) & (F.size(F.array_distinct(w)) <= 3)
+        return few | ((n >= 30) & (most_frequent(w) >= 30)) | ((n > 20) & (most_frequent(pairs(w)) >= 20))
+
+    return let(strip(line), judged)
 
 
 def drop_gibberish_lines(text: Column) -> Column:
@@ -128,9 +145,9 @@ def drop_repeated_lines(text: Column, times: int = 2, length: int = 50) -> Colum
 
     For documents of ordinary size; operators.lines.drop_repeated_lines does the same by an aggregation.
     """
-    norm = F.filter(F.transform(F.split(text, "\n"), lambda x: F.lower(strip(x))), lambda x: F.length(x) >= length)
-    often = F.filter(F.array_distinct(norm), lambda x: F.size(F.filter(norm, lambda y: y == x)) >= times)
-    return keep_lines(text, lambda x: strip(x).startswith("#") | ~F.array_contains(often, F.lower(strip(x))))
+    long_lines = F.sort_array(F.filter(F.transform(F.split(text, "\n"), lambda x: F.lower(strip(x))), lambda x: F.length(x) >= length))
+    often = let(long_lines, lambda s: F.array_distinct(F.filter(s, lambda x, i: x.eqNullSafe(F.get(s, i + (times - 1))))))
+    return F.when(text.isNotNull(), let(often, lambda o: F.when(F.size(o) == 0, text).otherwise(keep_lines(text, lambda x: strip(x).startswith("#") | ~F.array_contains(o, F.lower(strip(x)))))))
 
 
 def fix_ocr_punctuation(text: Column, keep_paragraphs: bool = False) -> Column:

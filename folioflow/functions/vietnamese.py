@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import U, apply, drop_invisible, drop_page_markers, map_lines, squeeze_blank_lines, strip, sub
+from .text import U, apply, drop_invisible, drop_page_markers, let, map_lines, squeeze_blank_lines, strip, sub
 
 LOWER = r"a-zàáảãạăằắẳẵặâầấẩẫậèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵđ"
 UPPER = r"A-ZÀÁẢÃẠĂẰẮẲẴẶÂẦẤẨẪẬÈÉẺẼẸÊỀẾỂỄỆÌÍỈĨỊÒÓỎÕỌÔỒỐỔỖỘƠỜỚỞỠỢÙÚỦŨỤƯỪỨỬỮỰỲÝỶỸỴĐ"
@@ -45,8 +45,8 @@ def normalise_headings(text: Column) -> Column:
     """`# - x` becomes `# x`; an empty line goes before a heading unless there is one."""
     line = rf"{U}^\s*(#{{1,6}})\s*-\s+(.*?)\s*\z"
     fixed = F.transform(F.split(text, "\n"), lambda x: F.when(x.rlike(line), F.concat_ws(" ", F.regexp_extract(x, line, 1), F.regexp_extract(x, line, 2))).otherwise(x))
-    apart = F.transform(fixed, lambda x, i: F.when(strip(x).rlike(rf"{U}^#{{1,6}}\s+") & (i > 0) & (strip(F.get(fixed, i - 1)) != ""), F.concat(F.lit("\n"), x)).otherwise(x))
-    return F.array_join(apart, "\n")
+    apart = lambda f: F.transform(f, lambda x, i: F.when(strip(x).rlike(rf"{U}^#{{1,6}}\s+") & (i > 0) & (strip(F.get(f, i - 1)) != ""), F.concat(F.lit("\n"), x)).otherwise(x))
+    return F.array_join(let(fixed, apart), "\n")
 
 
 def normalise_bullets(text: Column) -> Column:

@@ -16,16 +16,16 @@ def page_ranges(text: Column) -> Column:
     numbers = F.regexp_extract_all(text, F.lit(rf"(?i){U}<!--\s*PAGE\s*:\s*(\d+)\s*-->"), F.lit(1))
     whole = F.regexp_extract_all(text, F.lit(MARKER), F.lit(0))
     parts = F.split(text, MARKER, -1)
+    sizes = F.zip_with(F.zip_with(F.slice(parts, F.lit(1), F.size(numbers)), whole, lambda p, m: F.length(p) + F.length(m)), numbers, lambda n, page: F.struct(n.alias("skip"), page.cast("int").alias("page")))
+    rows = F.zip_with(sizes, F.slice(parts, F.lit(2), F.size(numbers)), lambda s, body: F.struct(s.skip.alias("skip"), s.page.alias("page"), F.length(body).alias("n")))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<page:int,start:int,end:int>>").alias("out"))
 
-    def step(s: Column, i: Column) -> Column:
-        begin = s["at"] + F.length(F.get(parts, i)) + F.length(F.get(whole, i))
-        end = begin + F.length(F.get(parts, i + 1))
-        row = F.struct(F.get(numbers, i).cast("int").alias("page"), begin.alias("start"), end.alias("end"))
-        return F.struct((begin).alias("at"), F.concat(s.out, F.array(row)).alias("out"))
+    def step(s: Column, r: Column) -> Column:
+        begin = s["at"] + r.skip
+        row = F.struct(r.page.alias("page"), begin.alias("start"), (begin + r.n).alias("end"))
+        return F.struct(begin.alias("at"), F.concat(s.out, F.array(row)).alias("out"))
 
-    ids = F.when(F.size(numbers) == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.size(numbers) - 1))
-    return F.aggregate(ids, start, step, lambda s: s.out)
+    return F.when(F.size(numbers) == 0, start.out).otherwise(F.aggregate(rows, start, step, lambda s: s.out))
 
 
 def page_at(ranges: Column, position: Column) -> Column:
@@ -63,9 +63,8 @@ def assign_pages(nodes: DataFrame, paged: DataFrame) -> DataFrame:
     markers = F.regexp_extract_all("text", F.lit(rf"(?i){U}<!--\s*PAGE\s*:\s*(\d+)\s*-->"), F.lit(1))
     bodies = F.slice(F.split("text", MARKER, -1), F.lit(2), F.greatest(F.size(markers), F.lit(1)))
     flat = paged.select("doc", markers.alias("numbers"), F.transform(bodies, collapse_whitespace).alias("bodies"))
-    sizes = F.transform("bodies", lambda b: F.length(b) + 1)
-    starts = F.transform("bodies", lambda b, i: F.aggregate(F.slice(sizes, F.lit(1), i), F.lit(0), lambda a, x: a + x))
-    ranges = F.transform(starts, lambda s, i: F.struct(F.get("numbers", i).cast("int").alias("page"), s.alias("start"), (s + F.length(F.get("bodies", i)) + 1).alias("end")))
+    starts = F.aggregate("bodies", F.array(F.lit(0)), lambda a, b: F.concat(a, F.array(F.element_at(a, -1) + F.length(b) + 1)))
+    ranges = F.transform(F.slice(starts, F.lit(1), F.size("bodies")), lambda s, i: F.struct(F.get("numbers", i).cast("int").alias("page"), s.alias("start"), (s + F.length(F.get("bodies", i)) + 1).alias("end")))
     flat = flat.select("doc", F.array_join("bodies", " ").alias("flat"), ranges.alias("ranges"))
     found = nodes.join(flat, "doc", "left").withColumn("own", collapse_whitespace(F.col("text"))).withColumn("at", F.coalesce(find_prefix(F.col("own"), F.col("flat")), F.lit(-1)))
     first = F.when(F.col("at") >= 0, page_at(F.col("ranges"), F.col("at")))

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import U, map_lines, sub
+from ..functions.text import U, let, map_lines, sub
 
 #: Words of table captions.
 CAPTION_WORDS = ("Bảng", "Table", "Liều", "Dự phòng", "Hình", "Figure", "Điều trị", "Phác đồ", "Công thức", "Thành phần")
@@ -187,8 +187,8 @@ def normalise_rows(text: Column) -> Column:
 
 def drop_consecutive(text: Column, length: int = 20) -> Column:
     """Without lines of over `length` characters that equal the line before."""
-    lines = F.split(text, "\n")
-    return F.array_join(F.filter(lines, lambda x, i: ~((i > 0) & (F.length(x) > length) & (x == F.coalesce(F.get(lines, i - 1), F.lit(""))))), "\n")
+    kept = lambda f: F.filter(f, lambda x, i: ~((i > 0) & (F.length(x) > length) & (x == F.coalesce(F.get(f, i - 1), F.lit("")))))
+    return F.array_join(let(F.split(text, "\n"), kept), "\n")
 
 
 def limit_newlines(text: Column) -> Column:

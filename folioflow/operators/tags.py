@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import U, sub
+from ..functions.text import U, let, sub
 
 #: Keywords of the domains, in order of preference.
 DOMAINS = {
@@ -47,9 +47,12 @@ def scores(text: Column, dictionary: dict[str, list[str]], least: int = 1) -> Co
 
     Every keyword counts by itself, so overlapping keywords count several times. rank is the place in the array.
     """
-    own = normalised(text)
-    each = [F.struct((-sum((keyword_count(own, k) for k in keys), F.lit(0))).alias("negative"), F.lit(i).alias("ord"), F.lit(label).alias("label")) for i, (label, keys) in enumerate(dictionary.items())]
-    hit = F.array_sort(F.filter(F.array(*each), lambda s: -s.negative >= least))
+
+
+    def counted(own: Column) -> Column:
+        return F.array(*(F.struct((-sum((keyword_count(own, k) for k in keys), F.lit(0))).alias("negative"), F.lit(i).alias("ord"), F.lit(label).alias("label")) for i, (label, keys) in enumerate(dictionary.items())))
+
+    hit = F.sort_array(F.filter(let(normalised(text), counted), lambda s: -s.negative >= least))
     return F.transform(hit, lambda s, i: F.struct((-s.negative).cast("bigint").alias("score"), i.alias("rank"), s.label.alias("label")))
 
 
@@ -66,13 +69,15 @@ def top_tags(text: Column, section: Column, source: Column, dictionary: dict[str
         F.transform(s, lambda x: F.struct(F.lit(5).alias("p"), (x["rank"] + 1000).alias("o"), x.label.alias("label"))),
         F.transform(f, lambda x: F.struct(F.lit(3).alias("p"), (x["rank"] + 2000).alias("o"), x.label.alias("label"))),
     )
-    labels = F.array_distinct(F.transform(points, lambda x: x.label))
 
-    def total(label: Column) -> Column:
-        own = F.filter(points, lambda x: x.label == label)
-        return F.struct(F.aggregate(own, F.lit(0), lambda a, x: a - x.p).alias("negative"), F.array_min(F.transform(own, lambda x: x.o)).alias("o"), label.alias("label"))
+    def totals(every: Column) -> Column:
+        def total(label: Column) -> Column:
+            own = F.filter(every, lambda x: x.label == label)
+            return F.struct(F.aggregate(own, F.lit(0), lambda a, x: a - x.p).alias("negative"), F.array_min(F.transform(own, lambda x: x.o)).alias("o"), label.alias("label"))
+
+        return F.transform(F.array_distinct(F.transform(every, lambda x: x.label)), total)
 
-    return F.slice(F.transform(F.array_sort(F.transform(labels, total)), lambda x: x.label), 1, most)
+    return F.slice(F.transform(F.sort_array(let(points, totals)), lambda x: x.label), 1, most)
 
 
 def tag_nodes(nodes: DataFrame, dictionary: dict[str, list[str]], domains: dict[str, list[str]] | None = None, most: int = 10) -> DataFrame:

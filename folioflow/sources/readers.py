@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import drop_invisible
 
-NODE = "source string, page int, chunk_id string, tags array<string>, content string, section string, page_start int, page_end int, _corrupt_record string"
+NODE = "source string, page int, chunk_id string, tags array<string>, content string, section string, page_start int, page_end int"
 
 
 def pdf_files(spark: SparkSession, path: str, named: str | None = None) -> DataFrame:
@@ -26,16 +26,16 @@ def text_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def nodes(spark: SparkSession, path: str, skip_temporary: bool = True) -> DataFrame:
-    """Nodes of JSON files that hold an object or an array of them; broken files are left out.
+    """Nodes of JSON files that hold an object or an array of them; a broken file gives a row of nulls, which is left out.
 
     skip_temporary: files named temp_* or beginning with a dot don't count.
     """
-    rows = spark.read.schema(NODE).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+    rows = spark.read.schema(NODE).option("multiLine", True).json(path)
     name = F.element_at(F.split(F.input_file_name(), "/"), -1)
     rows = rows.withColumn("_file", name)
     if skip_temporary:
         rows = rows.where(~F.col("_file").contains("temp_") & ~F.col("_file").startswith("."))
-    return rows.where("_corrupt_record is null").drop("_corrupt_record", "_file")
+    return rows.where("coalesce(source, chunk_id, content) is not null").drop("_file")
 
 
 def page_blocks(blocks: DataFrame) -> DataFrame:

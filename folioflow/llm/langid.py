@@ -60,7 +60,8 @@ class Model:
 
     def vectors(self, found: np.ndarray) -> np.ndarray:
         v = np.sqrt(found) * self.idf
-        return v / np.maximum(np.sqrt((v * v).sum(axis=1, keepdims=True)), 1e-12)
+        v /= np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v))[:, None], 1e-12)
+        return v
 
 
 def length_class(n: np.ndarray) -> np.ndarray:
@@ -107,32 +108,33 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Mo
     arrow = pa.schema([("lang", pa.string()), ("w", pa.int64()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))])
     chosen = d.withColumn("w", weight).where(F.col("w") <= share[F.col("lang")]).select("lang", "text", "w")
     rows = chosen.mapInArrow(run, "lang string, w bigint, at array<int>, n array<int>").toArrow().sort_by("w")  # bounded: sample x languages
-    texts: dict[str, list[np.ndarray]] = {k: [] for k in sorted(sizes)}
+    texts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {k: [] for k in sorted(sizes)}
+    seen = np.zeros(BUCKETS, np.int64)
     for lang, at, n in zip(rows["lang"].to_pylist(), rows["at"], rows["n"], strict=True):
         if len(texts[lang]) < sample:
-            v = np.zeros(BUCKETS, np.float32)
-            v[at.values.to_numpy()] = n.values.to_numpy()
-            texts[lang].append(v)
-    texts = {k: np.stack(v) for k, v in texts.items() if v}
+            texts[lang].append((at.values.to_numpy(), n.values.to_numpy()))
+            seen[texts[lang][-1][0]] += 1
+    texts = {k: v for k, v in texts.items() if v}
     if not texts:
         return None
-    every = sum((v > 0).sum(axis=0) for v in texts.values())
     total = sum(len(v) for v in texts.values())
-    model = Model(list(texts), np.log((1 + total) / (1 + every)).astype(np.float32) + 0.1, None, None, None)
+    model = Model(list(texts), np.log((1 + total) / (1 + seen)).astype(np.float32) + 0.1, None, None, np.zeros((len(texts), 16), np.float32))
     own, parts = [], []
-    unit = {k: model.vectors(v) for k, v in texts.items()}
-    for i, v in enumerate(unit.values()):
+    for i, found in enumerate(texts.values()):  # dense vectors of one language at a time: the driver's memory is bounded
+        v = np.zeros((len(found), BUCKETS), np.float32)
+        for row, (at, n) in zip(v, found, strict=True):
+            row[at] = n
+        length = length_class(v.sum(axis=1) / 3)
+        v = model.vectors(v)
         c = _kmeans(v, centroids)
         parts.append(c)
         own += [i] * len(c)
+        best = (v @ c.T).max(axis=1)
+        for k in range(16):
+            near = best[np.abs(length - k) <= 1] if (np.abs(length - k) <= 1).any() else best
+            model.floors[i, k] = REJECT * near.min()
+        del v
     model.centroids, model.owner = np.concatenate(parts).astype(np.float32), np.asarray(own)
-    model.floors = np.zeros((len(texts), 16), np.float32)
-    for i, (k, v) in enumerate(unit.items()):
-        best = (v @ model.centroids[model.owner == i].T).max(axis=1)
-        at = length_class(texts[k].sum(axis=1) / 3)
-        for c in range(16):
-            near = best[np.abs(at - c) <= 1] if (np.abs(at - c) <= 1).any() else best
-            model.floors[i, c] = REJECT * near.min()
     return model
 
 

@@ -16,7 +16,10 @@ MODULES = {
     "op8_packing": "packing",
     "op9_substring_dedup": "substrings",
     "op10_language_id": "langid",
+    "op9_whole_passages": "substrings",
 }
+#: Queries whose module's SQL is that of another query.
+WITHOUT_SQL = {"op9_whole_passages"}
 
 
 def queries() -> dict:
@@ -24,5 +27,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {name: getattr(import_module(f".{module}", __package__), "SQL", None) for name, module in MODULES.items()}
+    found = {name: getattr(import_module(f".{module}", __package__), "SQL", None) for name, module in MODULES.items() if name not in WITHOUT_SQL}
     return {name: sql for name, sql in found.items() if sql}

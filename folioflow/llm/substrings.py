@@ -1,7 +1,10 @@
 """Removal of repeated passages by sliding sentence spans.
 
 Every run of SPAN consecutive sentences with MIN_WORDS words, and every shorter run that has LONG_WORDS words, is
-hashed; equal runs meet by their 128-bit hash, and the one in the smallest doc_id, in it the foremost, is the first.
+hashed (exactly what SQL compares). With whole, for every sentence the shortest runs of two or more sentences that
+begin or end with it and have MIN_WORDS words are hashed instead, next to single sentences of LONG_WORDS: together they
+cover every repeated passage of two or more sentences and MIN_WORDS words, however short its sentences are, and in
+scripts without blanks two code points count as a word. Equal runs meet by their 128-bit hash, and the one in the smallest doc_id, in it the foremost, is the first.
 Sentences under any other are removed. A run inside a document counts once before the shuffle, aggregation by hash
 combines on the map side, and only hashes that several documents share are joined back, so a passage in a third of
 all documents costs a row for each of them.
@@ -10,7 +13,9 @@ all documents costs a row for each of them.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +28,8 @@ MIN_WORDS = 10
 LONG_WORDS = 40
 #: Null ids come after all others.
 LAST = 2**63 - 1
+#: Thai, Lao, Burmese, Khmer, kana, ideographs and their marks.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _PIECE = re.compile(rb"[^.!?\n]+[.!?]*\n?|[.!?\n]+")
 
 
@@ -31,7 +38,28 @@ def pieces(text: bytes) -> list[bytes]:
     return _PIECE.findall(text)
 
 
-def runs(found: list[bytes]) -> tuple[list[int], list[tuple[int, int, bytes]]]:
+def size_of(norm: bytes, n: int) -> int:
+    """Words of a sentence of n blank-separated ones; where scripts without blanks prevail, half their code points."""
+    return n if norm.isascii() else max(n, len(_UNSPACED.findall(norm.decode("utf-8", "ignore"))) // 2)
+
+
+def shortest(size: list[int]) -> list[tuple[int, int]]:
+    """For every place the shortest runs of two or more that begin or end there and reach MIN_WORDS, and single LONG_WORDS ones; in order."""
+    total = [0, *accumulate(size)]
+    n = len(size)
+    out = {(i, i + 1) for i in range(n) if size[i] >= LONG_WORDS}
+    for i in range(n):
+        j = max(i + 2, bisect_left(total, total[i] + MIN_WORDS))
+        if j <= n:
+            out.add((i, j))
+    for j in range(2, n + 1):
+        i = min(j - 2, bisect_right(total, total[j] - MIN_WORDS) - 1)
+        if i >= 0:
+            out.add((i, j))
+    return sorted(out)
+
+
+def runs(found: list[bytes], whole: bool = False) -> tuple[list[int], list[tuple[int, int, bytes]]]:
     """Places of the pieces with a word, and runs (begin, end: numbers of such pieces; 16-byte hash)."""
     import xxhash
 
@@ -41,6 +69,9 @@ def runs(found: list[bytes]) -> tuple[list[int], list[tuple[int, int, bytes]]]:
     size = [len(words[i]) for i in places]
     out = []
     n = len(places)
+    if whole:
+        sizes = [size_of(x, k) for x, k in zip(norm, size, strict=True)]
+        return places, [(i, j, xxhash.xxh3_128_digest(b"\0".join(norm[i:j]))) for i, j in shortest(sizes)]
     for i in range(n):
         total = 0
         for j in range(i, min(i + SPAN, n)):
@@ -54,10 +85,10 @@ def _halves(digest: bytes) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
 
 
-def cut(text: bytes, repeated: set[int]) -> tuple[bytes, int, int]:
+def cut(text: bytes, repeated: set[int], whole: bool = False) -> tuple[bytes, int, int]:
     """The text without sentences under runs whose hash begins with one of repeated or came before in it; sentences, removed ones."""
     found = pieces(text)
-    places, own = runs(found)
+    places, own = runs(found, whole)
     gone: set[int] = set()
     seen: set[bytes] = set()
     for a, b, h in own:
@@ -67,14 +98,14 @@ def cut(text: bytes, repeated: set[int]) -> tuple[bytes, int, int]:
     return b"".join(p for i, p in enumerate(found) if i not in gone) if gone else text, len(places), len(gone)
 
 
-def repeated_runs(docs: DataFrame) -> DataFrame:
+def repeated_runs(docs: DataFrame, whole: bool = False) -> DataFrame:
     """(order, runs): of every document (order, text) the first halves of run hashes that a smaller order has too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True):
                 if text:
-                    own = [_halves(h) for h in {h for _, _, h in runs(pieces(text))[1]}]
+                    own = [_halves(h) for h in {h for _, _, h in runs(pieces(text), whole)[1]}]
                     if own:
                         a, c = zip(*own, strict=True)
                         yield pa.RecordBatch.from_arrays([pa.array([doc] * len(a), pa.int64()), pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["order", "a", "b"])
@@ -84,16 +115,16 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     return rows.join(materialize(first, "repeated").hint("merge"), ["a", "b"]).where(F.col("order") > F.col("first")).groupBy("order").agg(F.collect_set("a").alias("runs"))
 
 
-def dedup_passages(docs: DataFrame) -> DataFrame:
+def dedup_passages(docs: DataFrame, whole: bool = False) -> DataFrame:
     """(row, doc_id, text, n_sentences, n_removed) for every row of docs (doc_id, text); row holds the input row but for its text.
 
     Null and empty texts stay as they are, with no sentences. A null doc_id comes after all others. Rows that share a
     doc_id have no order: none of them loses a passage for another. Other columns, whatever their names, are only
-    inside row.
+    inside row. whole: also passages of short sentences, of two sentences and of scripts without blanks.
     """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row")
     base = docs.select(row, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("order"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = base.join(repeated_runs(base), "order", "left").select("row", "doc_id", "text", "runs")
+    joined = base.join(repeated_runs(base, whole), "order", "left").select("row", "doc_id", "text", "runs")
     schema = pa.schema([("text", pa.string()), ("n_sentences", pa.int64()), ("n_removed", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +132,7 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
             texts = utf8(b.column(2))
             at = 0
             for held in chunks(zip(texts, b.column(3).to_pylist(), strict=True), lambda x: len(x[0] or b""), 16 << 20):
-                done = [cut(t, set(r or ())) if t else (t, 0, 0) for t, r in held]
+                done = [cut(t, set(r or ()), whole) if t else (t, 0, 0) for t, r in held]
                 new = pa.RecordBatch.from_pylist([{"text": None if t is None else t.decode(), "n_sentences": n, "n_removed": k} for t, n, k in done], schema=schema)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(done)), b.column(1).slice(at, len(done)), *new.columns], ["row", "doc_id", *schema.names])
                 at += len(done)
@@ -109,13 +140,18 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, f"row {joined.schema['row'].dataType.simpleString()}, doc_id bigint, text string, n_sentences bigint, n_removed bigint")
 
 
-def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:
+def op9_substring_dedup(spark, sf_dir: str, whole: bool = False) -> DataFrame:
     from .common import table
 
-    found = dedup_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = dedup_passages(table(spark, sf_dir, "documents").select("doc_id", "text"), whole)
     return found.select("doc_id", "n_sentences", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+def op9_whole_passages(spark, sf_dir: str) -> DataFrame:
+    """op9_substring_dedup without its lower bounds on three sentences; no SQL."""
+    return op9_substring_dedup(spark, sf_dir, True)
+
+
 SQL = r"""
 WITH p AS (
     SELECT r, doc_id, unnest(ps) AS piece, unnest(range(len(ps))) AS k

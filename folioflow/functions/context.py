@@ -23,7 +23,8 @@ def document_id(name: Column) -> Column:
 
 
 def node_id(document: Column, index: Column) -> Column:
-    return F.concat_ws("_node_", document, F.lpad(index.cast("string"), 4, "0"))
+    """The index has at least four digits; longer ones stay whole."""
+    return F.concat_ws("_node_", document, F.when(index.isNotNull(), F.format_string("%04d", index.cast("bigint"))))
 
 
 def page_of(page_start: Column, page: Column, metadata_page: Column) -> Column:

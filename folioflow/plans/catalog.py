@@ -381,7 +381,10 @@ FROM n
 """)
 def node_flags(spark, sf_dir):
     k, t = F.col("doc_id") % 4, F.col("text")
-    text = F.when(k == 0, F.concat_ws("\n", t, F.lit(PHRASES))).when(k == 1, F.concat_ws("\n", F.lit(TOC), F.substring(t, 1, 5))).when(k == 2, F.concat_ws("\n", F.lit("GS. A\nTS. B\nThS. C"), F.substring(t, 1, 5))).otherwise(t)
+    # as often as the shares of dotted and of titled lines ask for, so that whole texts can follow
+    often = lambda head, lines: F.repeat(F.lit(head + "\n"), (F.size(F.split(F.coalesce(t, F.lit("")), "\n")) / lines).cast("int") + 1)
+    names = "GS. A\nTS. B\nThS. C"
+    text = F.when(k == 0, F.concat_ws("\n", t, F.lit(PHRASES))).when(k == 1, F.concat(often(TOC, 10), F.coalesce(t, F.lit("")))).when(k == 2, F.concat(often(names, 2), F.coalesce(t, F.lit("")))).otherwise(t)
     found = documents(spark, sf_dir).select("doc_id", text.alias("text"))
     t = F.col("text")
     return found.select("doc_id", N.is_administrative(t).alias("is_administrative"), N.is_name_list(t).alias("is_name_list"), N.is_contents(t).alias("is_toc"), N.is_contents_document(t).alias("is_toc_document"))

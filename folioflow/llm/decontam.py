@@ -30,6 +30,8 @@ SEGMENT_WORDS = 600_000
 #: Bytes of test texts that are searched at once; larger test sets are taken in blocks.
 BLOCK_BYTES = 8 << 20
 GAP = 64
+#: How far a word may lie from its place in a proximity match of op1_near_matches.
+SLOP = 2
 INDEX_SCHEMA = "doc_ids array<bigint>, lengths array<int>, terms array<string>, counts array<int>, positions binary"
 MATCH_SCHEMA = "row_id string, doc_id bigint, n_words bigint, spans array<int>, items array<string>, near_items array<string>"
 
@@ -136,6 +138,7 @@ def _match(windows, counts, slop, doc_ids, lengths, terms, n, packed):
         rows = np.repeat(np.arange(at, to), heads[at:to])
         nth = np.arange(len(rows)) - np.repeat(bound[at:to] - bound[at], heads[at:to])
         begin = places[starts[rank[rows, 0]] + nth] - offsets[rows, 0]
+        anchor = begin + offsets[rows, 0]
         off = np.zeros(len(rows), bool)  # a proximity match, no exact one
         for k in range(1, WIDEST):
             more = np.flatnonzero(size[rows] > k)
@@ -149,10 +152,9 @@ def _match(windows, counts, slop, doc_ids, lengths, terms, n, packed):
             keep = np.ones(len(rows), bool)
             keep[more] = gap <= slop
             off[more] |= gap > 0
-            rows, begin, off = rows[keep], begin[keep], off[keep]
-        doc = np.searchsorted(doc_starts, np.maximum(begin, 0), side="right") - 1
-        inside = (begin >= doc_starts[doc]) & (begin + size[rows] <= doc_starts[doc] + lengths[doc])
-        for r, b, d, o in zip(rows[inside].tolist(), (begin - doc_starts[doc])[inside].tolist(), doc[inside].tolist(), off[inside].tolist(), strict=True):
+            rows, begin, off, anchor = rows[keep], begin[keep], off[keep], anchor[keep]
+        doc = np.searchsorted(doc_starts, anchor, side="right") - 1  # no word within slop lies in another document: the gaps are wider
+        for r, b, d, o in zip(rows.tolist(), (begin - doc_starts[doc]).tolist(), doc.tolist(), off.tolist(), strict=True):
             item = windows[live[r]][0]
             if o:
                 near.setdefault(d, set()).add(item)
@@ -184,6 +186,8 @@ def search(index: DataFrame, items: list[tuple[str, bytes | None]], slop: int =
     with an exact match; near_items: of those with a match whose words lie up to slop places from where they should.
     Documents without a match have empty arrays.
     """
+    if not 0 <= slop < GAP - WINDOW:
+        raise ValueError(f"slop must be below {GAP - WINDOW}")
     spark = index.sparkSession
     wanted = windows_of(items)
     vocabulary = {x for _, w in wanted for x in w}
@@ -254,14 +258,26 @@ def contaminated(n_hit, n_words):
     return (n_hit > 0) & (20 * n_hit >= n_words)
 
 
+def _columns(found: DataFrame) -> DataFrame:
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"), "items", "near_items",
+    )
+
+
 def op1_decontamination(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
-    )
+    return _columns(found).drop("items", "near_items")
+
+
+def op1_near_matches(spark, sf_dir: str) -> DataFrame:
+    """The columns of op1_decontamination, and the items that only match with words up to SLOP places off; no SQL."""
+    from .common import table
+
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), SLOP)
+    return _columns(found).withColumn("near_items", F.array_except("near_items", "items"))
 
 
 SQL = r"""

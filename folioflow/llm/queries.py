@@ -16,10 +16,11 @@ MODULES = {
     "op8_packing": "packing",
     "op9_substring_dedup": "substrings",
     "op10_language_id": "langid",
+    "op1_near_matches": "decontam",
     "op9_whole_passages": "substrings",
 }
 #: Queries whose module's SQL is that of another query.
-WITHOUT_SQL = {"op9_whole_passages"}
+WITHOUT_SQL = {"op1_near_matches", "op9_whole_passages"}
 
 
 def queries() -> dict:

@@ -29,9 +29,15 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each SimHash component; of rows that share that doc_id, one."""
-    kept = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return _matching(docs, kept, "left_semi").dropDuplicates(["doc_id"])
+    """One row of each SimHash component: with the smallest doc_id, null last; rows may share a doc_id and stay if their components differ."""
+    found = simhash.near_duplicates(docs)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")).alias("x")
+    kept = materialize(found.groupBy("component").agg(least).select(F.col("x.doc_id").alias("wanted_id"), F.col("x.own").alias("wanted")), "kept")
+    if kept.count() * 32 <= BROADCAST_BYTES:
+        kept = F.broadcast(kept)
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("wanted_id")) & (F.col("own") == F.col("wanted"))
+    rows = docs.withColumn("own", simhash.identity("text")).join(kept, same, "left_semi")
+    return rows.dropDuplicates(["doc_id", "own"]).select(*docs.columns)  # equal rows
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ASCII_LOWER, materialize, pick, utf8
@@ -53,14 +53,20 @@ def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): one row per row of docs (doc_id, text); fp holds the unsigned fingerprint as a signed long."""
+    """(doc_id, fp, own): one row per row of docs (doc_id, text); fp holds the unsigned fingerprint as a signed long, own is identity()."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = np.asarray([fingerprint(t, size) for t in utf8(b.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64)), b.column(2)], ["doc_id", "fp", "own"])
 
-    return pick(docs, doc_id="doc_id bigint", text="text string").mapInArrow(run, "doc_id bigint, fp bigint")
+    found = pick(docs, doc_id="doc_id bigint", text="text string").withColumn("own", identity("text"))
+    return found.mapInArrow(run, "doc_id bigint, fp bigint, own struct<a:bigint,b:bigint>")
+
+
+def identity(text: str) -> Column:
+    """128 bits by which equal texts agree; null texts agree with each other."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
 
 
 def bit_groups(nodes: DataFrame, m: int = 4) -> list[list[int]]:
@@ -291,20 +297,21 @@ def links(nodes: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, limit: int = LIMIT, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of docs (doc_id, text).
+    """(doc_id, fp, own, component_id, component) for every row of docs (doc_id, text).
 
     Documents within limit bits are linked; a component is named by the smallest doc_id in it. Texts without words,
     null ones included, have fingerprint 0 and are linked like any other. Repeated rows stay; a null doc_id never
-    names a component unless all its members' are null. Other columns are ignored.
+    names a component unless all its members' are null. Since rows may share a doc_id, components may share a name:
+    component, a fingerprint in it, is theirs alone. own is identity() of the text. Other columns are ignored.
     """
     found = materialize(fingerprints(docs, size), "fingerprints")
     nodes = materialize(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     label = components(links(nodes, limit))
     tied = nodes.join(label, nodes.fp == label.node).select("fp", "least", "component")
     names = tied.groupBy("component").agg(F.min("least").alias("name"))
-    named = tied.join(names, "component").select("fp", "name")
-    whole = nodes.join(named, "fp", "left").select("fp", F.coalesce("name", "least").alias("component_id"))
-    return found.join(whole, "fp").select("doc_id", "fp", "component_id")
+    named = tied.join(names, "component").select("fp", "name", "component")
+    whole = nodes.join(named, "fp", "left").select("fp", F.coalesce("name", "least").alias("component_id"), F.coalesce("component", "fp").alias("component"))
+    return found.join(whole, "fp").select("doc_id", "fp", "own", "component_id", "component")
 
 
 def op2_simhash_dedup(spark, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 import random
 
-from folioflow.llm import substrings
+import corpus_pipeline
+from folioflow.llm import simhash, substrings
 
 DOCS = "doc_id bigint, text string"
 
@@ -39,3 +40,16 @@ def test_whole_passages_in_scripts_without_blanks(spark):
     passage = "这是一个没有空格的长句子并且会在多个文档中重复.\n第二个句子也是这样的而且同样没有空格.\n"
     found = substrings.dedup_passages(spark.createDataFrame([(i, passage + f"x{i}") for i in range(2)], DOCS), whole=True)
     assert {r.doc_id: r.text for r in found.collect()} == {0: passage + "x0", 1: "x1"}
+
+
+def test_pipeline_keeps_a_row_of_each_component(spark):
+    rng = random.Random(4)
+    text = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(60))
+    t = [text() for _ in range(8)]
+    assert len({simhash.fingerprint(x.encode()) for x in t}) == 8
+    rows = [(1, t[0]), (1, t[1]), (1, t[1]), (2, t[2]), (None, t[2]), (None, t[3]), (None, t[3]), (None, t[4]), (None, t[5]), (7, t[0]), (3, t[6]), (3, t[7])]
+    docs = spark.createDataFrame(rows, DOCS)
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    want = [(1, t[0]), (1, t[1]), (2, t[2]), (None, t[3]), (None, t[4]), (None, t[5]), (3, t[6]), (3, t[7])]
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, want))

@@ -12,12 +12,12 @@ Segments share no key, so no group of rows can be hot, and a task holds one segm
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
@@ -32,7 +32,7 @@ BLOCK_BYTES = 8 << 20
 GAP = 64
 #: How far a word may lie from its place in a proximity match of op1_near_matches.
 SLOP = 2
-INDEX_SCHEMA = "doc_ids array<bigint>, lengths array<int>, terms array<string>, counts array<int>, positions binary"
+INDEX_SCHEMA = "doc_ids array<bigint>, lengths array<int>, terms array<string>, counts array<int>, positions binary, segment string"
 MATCH_SCHEMA = "row_id string, doc_id bigint, n_words bigint, spans array<int>, items array<string>, near_items array<string>"
 
 
@@ -52,14 +52,14 @@ def windows_of(items: list[tuple[str, bytes | None]], size: int = WINDOW) -> lis
 
 
 def build_index(docs: DataFrame, terms: set[bytes] | None = None, segment_words: int = SEGMENT_WORDS) -> DataFrame:
-    """Positional postings of documents (doc_id, text), one row per segment.
+    """Positional postings of documents (doc_id, text), one row per segment; segment names it by partition and place.
 
     terms: the terms to index, None for all. Null texts have no words; repeated rows are indexed each; every row
     of docs is in exactly one segment. Columns other than doc_id and text are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
-    def segment(held: list[tuple[int, list[bytes]]], known: dict[bytes, int], names: list[bytes]) -> dict:
+    def segment(held: list[tuple[int, list[bytes]]], known: dict[bytes, int], names: list[bytes], name: str) -> dict:
         lengths = np.fromiter((len(w) for _, w in held), np.int64, len(held))
         starts = np.concatenate([[0], np.cumsum(lengths + GAP)[:-1]]) if held else np.zeros(0, np.int64)
         ids, places = [], []
@@ -78,7 +78,7 @@ def build_index(docs: DataFrame, terms: set[bytes] | None = None, segment_words:
         present, first, counts = np.unique(ids, return_index=True, return_counts=True)
         gaps = np.diff(places, prepend=0).astype(np.int32)
         gaps[first] = places[first]  # each list starts anew
-        return {"doc_ids": [d for d, _ in held], "lengths": lengths.tolist(), "terms": [names[i].decode() for i in present], "counts": counts.tolist(), "positions": zlib.compress(gaps.tobytes(), 1)}
+        return {"doc_ids": [d for d, _ in held], "lengths": lengths.tolist(), "terms": [names[i].decode() for i in present], "counts": counts.tolist(), "positions": zlib.compress(gaps.tobytes(), 1), "segment": name}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -88,12 +88,13 @@ def build_index(docs: DataFrame, terms: set[bytes] | None = None, segment_words:
 
         names = sorted(shared.value) if shared.value is not None else []
         known = {x: i for i, x in enumerate(names)}
-        for held in chunks(rows(), lambda x: len(x[1]) + GAP, segment_words):
+        part = TaskContext.get().partitionId()
+        for k, held in enumerate(chunks(rows(), lambda x: len(x[1]) + GAP, segment_words)):
             if shared.value is None:
                 known, names = {}, []
-            yield pa.RecordBatch.from_pylist([segment(held, known, names)], schema=arrow)
+            yield pa.RecordBatch.from_pylist([segment(held, known, names, f"{part}-{k}")], schema=arrow)
 
-    arrow = pa.schema([("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("terms", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())), ("positions", pa.binary())])
+    arrow = pa.schema([("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("terms", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())), ("positions", pa.binary()), ("segment", pa.string())])
     return pick(docs, doc_id="doc_id bigint", text="text string").mapInArrow(run, INDEX_SCHEMA)
 
 
@@ -200,9 +201,8 @@ def search(index: DataFrame, items: list[tuple[str, bytes | None]], slop: int =
         windows, counts = shared.value
         for b in batches:
             for i in range(b.num_rows):
-                doc_ids, lengths, terms, n, packed = (b.column(k)[i].as_py() for k in range(5))
+                doc_ids, lengths, terms, n, packed, tag = (b.column(k)[i].as_py() for k in range(6))
                 spans, exact, near = _match(windows, counts, slop, doc_ids, lengths, terms, n, packed)
-                tag = hashlib.md5(packed + repr(doc_ids).encode()).hexdigest()
                 yield pa.RecordBatch.from_pylist(
                     [
                         {"row_id": f"{tag}-{k}", "doc_id": d, "n_words": length, "spans": [x for s in merged(spans.get(k, [])) for x in s], "items": sorted(exact.get(k, ())), "near_items": sorted(near.get(k, ()))}

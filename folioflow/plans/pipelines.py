@@ -1,4 +1,4 @@
-"""The three entry points as DataFrame functions."""
+"""Entry points as DataFrame functions; the README lists the steps they leave out."""
 
 from __future__ import annotations
 

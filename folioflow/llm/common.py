@@ -11,7 +11,7 @@ import types
 import uuid
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Tables of at most this many bytes (measured, never guessed) may be broadcast or held by one Python worker.
@@ -24,9 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one is set only where the session names none."""
+    """The folder that driver and executors share. On a cluster the session must name it; only a session whose tasks run
+    in the driver's own process gets a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='folioflow-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -34,13 +37,27 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Paths of scratch tables that exist, oldest first.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder, removed when the driver ends."""
     path = f"{shared_dir(spark)}/folioflow/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
     atexit.register(_remove, spark, path)
     return path
 
 
+def kept_alone(spark: SparkSession, make, label: str) -> DataFrame:
+    """make()'s result as a scratch table; all other scratch tables that making it wrote are deleted."""
+    before = len(_SCRATCH)
+    found = materialize(make(), label)
+    for path in [p for p in _SCRATCH[before:] if p != found.scratch]:
+        remove_path(spark, path)
+    return found
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         remove_path(spark, path)
@@ -52,6 +69,8 @@ def remove_path(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    if path in _SCRATCH:
+        _SCRATCH.remove(path)
 
 
 def materialize(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
@@ -75,6 +94,11 @@ def discard(*tables: DataFrame) -> None:
         remove_path(t.sparkSession, t.scratch)
 
 
+def broadcast_if_small(rows: DataFrame, row_bytes: int) -> DataFrame:
+    """A materialized table of rows of about row_bytes, to be broadcast if its counted size allows."""
+    return F.broadcast(rows) if rows.count() * row_bytes <= BROADCAST_BYTES else rows
+
+
 def release(spark: SparkSession) -> None:
     gc.collect()
     spark._jvm.System.gc()
@@ -94,6 +118,11 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{spec.split()[0]}`").cast(spec.split()[1]).alias(name) for name, spec in columns.items()))
 
 
+def identity(text: str) -> Column:
+    """128 bits by which equal texts agree; null texts agree with each other."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+
+
 def sql_ascii_lower(column: str) -> str:
     """DuckDB and Spark SQL for lower-casing A-Z alone."""
     return f"translate({column}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import pick
 
@@ -138,16 +139,15 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Mo
     return model
 
 
-def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """lang_pred, score and rejected for every row of docs (doc_id, text).
+def identify(docs: DataFrame, model: Model | None, rows: bool = False) -> DataFrame:
+    """doc_id, lang_pred, score and rejected for every row of docs (doc_id, text).
 
     A null text or one without a letter is `und` with score 0 and rejected, as is every text if there is no model.
-    score is the cosine with the nearest centroid. Repeated rows stay; columns named in keep are handed through.
+    score is the cosine with the nearest centroid. Repeated rows stay; other columns are ignored. rows: with text and a
+    struct row that holds all other columns, whatever their names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    d = pick(docs, doc_id="doc_id bigint", text="text string")
-    if keep:
-        d = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), *(F.col(f"`{c}`") for c in keep))
+    d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *([F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row")] if rows else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -165,12 +165,13 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -
                 low = top < m.floors[own, length_class(found.sum(axis=1) / 3)]
                 for i, o, s, r in zip(some, own.tolist(), top.tolist(), low.tolist(), strict=True):
                     names[i], scores[i], rejected[i] = m.languages[o], s, r
-            columns = [b.column(0), *((b.column(1), *b.columns[2:]) if keep else ()), pa.array(names, pa.string()), pa.array(scores), pa.array(rejected)]
+            columns = [b.column(0), *(b.columns[1:] if rows else ()), pa.array(names, pa.string()), pa.array(scores), pa.array(rejected)]
             yield pa.RecordBatch.from_arrays(columns, out)
 
-    schema = [f"{f.name} {f.dataType.simpleString()}" for f in d.schema if keep or f.name == "doc_id"] + ["lang_pred string", "score double", "rejected boolean"]
-    out = [x.split()[0] for x in schema]
-    return d.mapInArrow(run, ", ".join(schema))
+    fields = [f for f in d.schema if rows or f.name == "doc_id"]
+    out = [f.name for f in fields] + ["lang_pred", "score", "rejected"]
+    schema = StructType(fields).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    return d.mapInArrow(run, schema)
 
 
 def held_out(doc_id):

@@ -19,10 +19,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, materialize, pick, utf8
+from .common import ASCII_LOWER, identity, materialize, pick, utf8
 from .components import components
 
 SHINGLE = 4
@@ -64,11 +64,6 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return found.mapInArrow(run, "doc_id bigint, fp bigint, own struct<a:bigint,b:bigint>")
 
 
-def identity(text: str) -> Column:
-    """128 bits by which equal texts agree; null texts agree with each other."""
-    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
-
-
 def bit_groups(nodes: DataFrame, m: int = 4) -> list[list[int]]:
     """64 bits in m groups of equal size; bits whose values correlate over all fingerprints share a group."""
 

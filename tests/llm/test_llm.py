@@ -146,6 +146,33 @@ def test_decontamination_finds_exact_and_near_phrases(spark):
         assert found[2]["items"] == ["b"] and found[2].near_items == ["a"] and found[3].n_hit == 2 and found[4].n_words == 0
 
 
+def brute_hits(text, items):
+    """Words hit and items found, by looking for every window at every place."""
+    w, hit, found = decontam.words((text or "").encode()), set(), set()
+    for item, t in items:
+        own = decontam.words((t or "").encode())
+        for i in range(max(1, len(own) - 12) if own else 0):
+            window = own[i : i + 13]
+            for k in range(len(w) - len(window) + 1):
+                if w[k : k + len(window)] == window:
+                    hit |= set(range(k, k + len(window)))
+                    found.add(item)
+    return len(w), len(hit), tuple(sorted(found))
+
+
+def test_decontamination_of_repeated_rows_equals_brute_force(spark):
+    rng = random.Random(8)
+    line = lambda n: " ".join(rng.choice("abc") for _ in range(n))
+    texts = [line(rng.choice([0, 3, 15, 40])) for _ in range(12)] + [None]
+    rows = [(i % 4 if i % 3 else None, texts[i % len(texts)]) for i in range(60)] + [(7, "a b")] * 5
+    items = [("x", line(4)), ("y", line(15)), ("x", line(5)), (None, line(3)), ("z", ""), ("n", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    want = sorted((str(d), *brute_hits(t, [(i or "", t) for i, t in items])) for d, t in rows)
+    for block in (1, 100, 1 << 20):
+        found = decontam.decontaminate(docs, spark.createDataFrame(items, "item_id string, text string"), 0, block).collect()
+        assert sorted((str(r.doc_id), r.n_words, r.n_hit, tuple(r["items"])) for r in found) == want
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 

@@ -105,9 +105,12 @@ def release(spark: SparkSession) -> None:
 
 
 def worker_store(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker, across its tasks."""
+    """A dictionary that lives as long as the Python worker, across its tasks; those of other names go."""
     module = sys.modules.setdefault("_folioflow_worker_store", types.ModuleType("_folioflow_worker_store"))
-    return module.__dict__.setdefault(name, {})
+    held = module.__dict__
+    for other in [k for k in held if not k.startswith("__") and k != name]:
+        del held[other]
+    return held.setdefault(name, {})
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
@@ -143,6 +146,21 @@ def utf8(column) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def slices(batch, column: int, most: int = 4 << 20) -> Iterator:
+    """Pieces of an Arrow batch whose strings in a column have `most` bytes together, or one row: few are Python objects at once."""
+    import pyarrow.compute as pc
+
+    at = 0
+    total = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).tolist()):
+        if i > at and total + n > most:
+            yield batch.slice(at, i - at)
+            at, total = i, 0
+        total += n
+    if at < batch.num_rows:
+        yield batch.slice(at)
+
+
 def chunks(items: Iterable, weight, most: int) -> Iterator[list]:
     """Consecutive lists of items whose weights add up to most at most (single items may exceed it)."""
     held, total = [], 0

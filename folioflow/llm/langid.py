@@ -12,6 +12,7 @@ of fixed size; every text is scored whole.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import pick
+from .common import pick, slices, worker_store
 
 #: Hash buckets of n-grams.
 BUCKETS = 8192
@@ -60,9 +61,16 @@ class Model:
     floors: np.ndarray  # (languages, length classes): lowest cosine accepted
 
     def vectors(self, found: np.ndarray) -> np.ndarray:
-        v = np.sqrt(found) * self.idf
-        v /= np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v))[:, None], 1e-12)
-        return v
+        """Unit vectors of 32-bit counts, in their place."""
+        np.sqrt(found, out=found)
+        found *= self.idf
+        found /= np.maximum(np.sqrt(np.einsum("ij,ij->i", found, found))[:, None], 1e-12)
+        return found
+
+
+def unpacked(packed: bytes) -> np.ndarray:
+    """Buckets and counts."""
+    return np.frombuffer(zlib.decompress(packed), "<i4").reshape(2, -1)
 
 
 def length_class(n: np.ndarray) -> np.ndarray:
@@ -104,17 +112,19 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Mo
                 if _LETTER.search(text):
                     found = counts(text)
                     at = np.flatnonzero(found)
-                    yield pa.RecordBatch.from_pylist([{"lang": lang, "w": w, "at": at.tolist(), "n": found[at].tolist()}], schema=arrow)
+                    packed = zlib.compress(np.stack([at, found[at]]).astype("<i4").tobytes(), 1)
+                    yield pa.RecordBatch.from_pylist([{"lang": lang, "w": w, "packed": packed}], schema=arrow)
 
-    arrow = pa.schema([("lang", pa.string()), ("w", pa.int64()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))])
+    arrow = pa.schema([("lang", pa.string()), ("w", pa.int64()), ("packed", pa.binary())])
     chosen = d.withColumn("w", weight).where(F.col("w") <= share[F.col("lang")]).select("lang", "text", "w")
-    rows = chosen.mapInArrow(run, "lang string, w bigint, at array<int>, n array<int>").toArrow().sort_by("w")  # bounded: sample x languages
-    texts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {k: [] for k in sorted(sizes)}
+    rows = chosen.mapInArrow(run, "lang string, w bigint, packed binary").toArrow().sort_by("w")  # bounded: sample x languages
+    texts: dict[str, list[bytes]] = {k: [] for k in sorted(sizes)}
     seen = np.zeros(BUCKETS, np.int64)
-    for lang, at, n in zip(rows["lang"].to_pylist(), rows["at"], rows["n"], strict=True):
+    for lang, packed in zip(rows["lang"].to_pylist(), rows["packed"].to_pylist(), strict=True):
         if len(texts[lang]) < sample:
-            texts[lang].append((at.values.to_numpy(), n.values.to_numpy()))
-            seen[texts[lang][-1][0]] += 1
+            texts[lang].append(packed)
+            seen[unpacked(packed)[0]] += 1
+    del rows
     texts = {k: v for k, v in texts.items() if v}
     if not texts:
         return None
@@ -123,7 +133,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Mo
     own, parts = [], []
     for i, found in enumerate(texts.values()):  # dense vectors of one language at a time: the driver's memory is bounded
         v = np.zeros((len(found), BUCKETS), np.float32)
-        for row, (at, n) in zip(v, found, strict=True):
+        for row, packed in zip(v, found, strict=True):
+            at, n = unpacked(packed)
             row[at] = n
         length = length_class(v.sum(axis=1) / 3)
         v = model.vectors(v)
@@ -151,18 +162,20 @@ def identify(docs: DataFrame, model: Model | None, rows: bool = False) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
+        worker_store("languages")
+        for b in (x for batch in batches for x in slices(batch, 1)):
             texts = b.column(1).to_pylist()
             names, scores, rejected = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
             live = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if m is not None else []
             for k in range(0, len(live), 256):
                 some = live[k : k + 256]
                 found = np.stack([counts(texts[i]) for i in some]).astype(np.float32)
+                length = length_class(found.sum(axis=1) / 3)
                 cosine = m.vectors(found) @ m.centroids.T
                 best = cosine.argmax(axis=1)
                 top = np.clip(cosine[np.arange(len(some)), best], 0, 1)
                 own = m.owner[best]
-                low = top < m.floors[own, length_class(found.sum(axis=1) / 3)]
+                low = top < m.floors[own, length]
                 for i, o, s, r in zip(some, own.tolist(), top.tolist(), low.tolist(), strict=True):
                     names[i], scores[i], rejected[i] = m.languages[o], s, r
             columns = [b.column(0), *(b.columns[1:] if rows else ()), pa.array(names, pa.string()), pa.array(scores), pa.array(rejected)]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, pick, utf8, worker_store
+from .common import materialize, pick, slices, utf8, worker_store
 
 LENGTH = 4096
 END = 1
@@ -110,21 +110,13 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path or tokenizer_path())
         end = np.asarray([END], "<u4").tobytes()
-        for b in batches:
-            texts = utf8(b.column(1))
+        for b in (x for batch in batches for x in slices(batch, 1)):
             rows = []
-            at = 0
-            while at < len(texts):  # a few megabytes at a time
-                to, held = at, 0
-                while to < len(texts) and (to == at or held < 4 << 20):
-                    held += len(texts[to] or b"")
-                    to += 1
-                for doc, ids in zip(b.column(0)[at:to].to_pylist(), encode(texts[at:to]), strict=True):
-                    ids += end
-                    for p, start in enumerate(range(0, len(ids), 4 * length)):
-                        own = ids[start : start + 4 * length]
-                        rows.append((doc, p, start // 4, len(own) // 4, zlib.crc32(own)))
-                at = to
+            for doc, ids in zip(b.column(0).to_pylist(), encode(utf8(b.column(1))), strict=True):
+                ids += end
+                for p, start in enumerate(range(0, len(ids), 4 * length)):
+                    own = ids[start : start + 4 * length]
+                    rows.append((doc, p, start // 4, len(own) // 4, zlib.crc32(own)))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if k == 1 else pa.int64()) for k, x in enumerate(zip(*rows, strict=True) if rows else [[]] * 5)], names)
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]

@@ -19,15 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, worker_store
+from .common import BROADCAST_BYTES, pick, slices, worker_store
 from .langid import held_out
 
 #: Training documents of either label at most.
 SAMPLE = 2000
 #: Hash buckets of features.
 BUCKETS = 1 << 18
-#: Features that occur in fewer training documents carry no weight.
-RARE = 5
+#: Features that occur in fewer training documents, or whose log odds between labels are nearer to 0, carry no weight.
+RARE, SURE = 5, 1.6
+#: A prior: without weighted words a sentence offends with a chance of at most about e to this power.
+BIAS = -10.0
 THRESHOLD = 0.3
 #: Sentences that score at least this are reported as offending.
 SENTENCE_THRESHOLD = 0.3
@@ -71,7 +73,26 @@ class Model:
 
 
 def noisy_or(p: np.ndarray) -> float:
-    return float(-np.expm1(np.log1p(-np.minimum(p.astype(np.float64), 1 - 1e-9)).sum()))
+    """Chance that any of the sentences offends; 0 without sentences."""
+    return float(0.0 - np.expm1(np.log1p(-np.minimum(p.astype(np.float64), 1 - 1e-9)).sum()))
+
+
+def loss(w: np.ndarray, b: float, feature: np.ndarray, sentence: np.ndarray, owner: np.ndarray, plain: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray, float]:
+    """Mean negative log-likelihood of document labels y under the noisy-or, and its gradients by weights and bias.
+
+    feature and sentence name the weight and the sentence of every entry, owner the document of every sentence; plain
+    counts a document's sentences without weights.
+    """
+    z = np.bincount(sentence, weights=w[feature], minlength=len(owner)) + b
+    p = np.clip(1 / (1 + np.exp(-np.clip(z, -30, 30))), 1e-13, 1 - 1e-9)
+    base = 1 / (1 + np.exp(-max(b, -30)))
+    clean = np.minimum(np.bincount(owner, weights=np.log1p(-p), minlength=len(y)) + plain * np.log1p(-base), -1e-9)
+    none = np.exp(clean)  # chance that no sentence offends
+    # d(-log likelihood)/dz of a sentence: p for label 0, -p * none / (1 - none) for label 1
+    factor = np.where(y > 0, -none / np.maximum(1 - none, 1e-9), 1.0)
+    dz = factor[owner] * p
+    value = -np.where(y > 0, np.log(np.maximum(1 - none, 1e-9)), clean).mean()
+    return value, np.bincount(feature, weights=dz[sentence], minlength=len(w)) / len(y), (dz.sum() + (factor * plain).sum() * base) / len(y)
 
 
 def train(bags: list[list[np.ndarray]], labels: np.ndarray, rounds: int = ROUNDS) -> Model:
@@ -82,10 +103,10 @@ def train(bags: list[list[np.ndarray]], labels: np.ndarray, rounds: int = ROUNDS
             df[y, np.unique(np.concatenate(own))] += 1
     n = np.maximum([(labels == 0).sum(), (labels == 1).sum()], 1)
     odds = np.log((df[1] + 0.5) / (n[1] + 1)) - np.log((df[0] + 0.5) / (n[0] + 1))
-    live = (df.sum(axis=0) >= RARE) & (odds > 1.6)
+    live = (df.sum(axis=0) >= RARE) & (np.abs(odds) > SURE)
     place = np.cumsum(live) - 1
     w = odds[live] * 0.6
-    b = -5.0
+    b = BIAS
     doc, feature, sentence, total = [], [], [], 0
     owner = []
     for i, own in enumerate(bags):
@@ -106,21 +127,13 @@ def train(bags: list[list[np.ndarray]], labels: np.ndarray, rounds: int = ROUNDS
     y = labels.astype(float)
     m_w, v_w, m_b, v_b = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, rounds + 1):
-        z = np.bincount(sentence, weights=w[feature], minlength=total) + b
-        p = np.clip(1 / (1 + np.exp(-np.clip(z, -30, 30))), 1e-9, 1 - 1e-9)
-        base = np.clip(1 / (1 + np.exp(-b)), 1e-9, 1 - 1e-9)
-        clean = np.bincount(owner, weights=np.log1p(-p), minlength=len(bags)) + plain * np.log1p(-base)
-        none = np.exp(np.minimum(clean, -1e-9))  # chance that no sentence offends
-        # d(-log likelihood)/dz of a sentence: p for label 0, -p * none / (1 - none) for label 1
-        factor = np.where(y > 0, -none / np.maximum(1 - none, 1e-9), 1.0)
-        dz = factor[owner] * p
-        gw = np.bincount(feature, weights=dz[sentence], minlength=len(w)) / len(bags) + 1e-5 * w
-        gb = (dz.sum() + (factor * plain).sum() * base) / len(bags)
+        _, gw, gb = loss(w, b, feature, sentence, owner, plain, y)
+        gw = gw + 1e-5 * w
         m_w, v_w = 0.9 * m_w + 0.1 * gw, 0.99 * v_w + 0.01 * gw * gw
         m_b, v_b = 0.9 * m_b + 0.1 * gb, 0.99 * v_b + 0.01 * gb * gb
         c1, c2 = 1 - 0.9**t, 1 - 0.99**t
         w = w - 0.15 * (m_w / c1) / (np.sqrt(v_w / c2) + 1e-8)
-        b = min(b - 0.15 * (m_b / c1) / (np.sqrt(v_b / c2) + 1e-8), -4.0)
+        b = min(b - 0.15 * (m_b / c1) / (np.sqrt(v_b / c2) + 1e-8), BIAS)
     weights = np.zeros(BUCKETS, np.float32)
     weights[live] = w
     return Model(weights, float(b))
@@ -129,10 +142,11 @@ def train(bags: list[list[np.ndarray]], labels: np.ndarray, rounds: int = ROUNDS
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from docs (doc_id, text) joined with labels (doc_id, toxic), at most `sample` of either label.
 
-    Null ids, texts or labels are not learnt from. Without a document of both labels there is no model.
+    Null ids, texts or labels are not learnt from, nor is anything of held-out documents, the number of their labels
+    included. Of several labels of a document the larger counts. Without a document of both labels there is no model.
     """
-    d = pick(docs, doc_id="doc_id bigint", text="text string").where("text is not null")
-    y = pick(labels, doc_id="doc_id bigint", toxic="toxic int").where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    d = pick(docs, doc_id="doc_id bigint", text="text string").where(~held_out("doc_id") & F.col("text").isNotNull())
+    y = pick(labels, doc_id="doc_id bigint", toxic="toxic int").where(~held_out("doc_id") & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     w = F.xxhash64("doc_id", F.lit(5)).bitwiseAND(F.lit(2**62 - 1))
     sizes = {r["toxic"]: r["count"] for r in y.groupBy("toxic").count().collect()}  # two rows
     if len(sizes) < 2:
@@ -148,7 +162,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
                     yield pa.RecordBatch.from_pylist([{"toxic": toxic, "w": w, "bag": own}], schema=arrow)
 
     arrow = pa.schema([("toxic", pa.int32()), ("w", pa.int64()), ("bag", pa.list_(pa.binary()))])
-    rows = d.join(F.broadcast(chosen), "doc_id").select("text", "toxic", "w").mapInArrow(run, "toxic int, w bigint, bag array<binary>").toArrow().sort_by("w")  # about 2 x sample rows
+    if chosen.count() * 24 <= BROADCAST_BYTES:
+        chosen = F.broadcast(chosen)
+    rows = d.join(chosen, "doc_id").select("text", "toxic", "w").mapInArrow(run, "toxic int, w bigint, bag array<binary>").toArrow().sort_by("w")  # about 2 x sample rows
     bags = [[np.frombuffer(f, np.int32) for f in own] for own in rows["bag"].to_pylist()]
     return train(bags, np.asarray(rows["toxic"].to_pylist(), np.int64)) if bags else None
 
@@ -173,8 +189,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             if known.get("key") != key:
                 known.update(key=key, heavy={}, light=set())
             heavy, light = known["heavy"], known["light"]
-            base = float(m.sentence_scores(np.zeros(1))[0])
-        for b in batches:
+        for b in (x for batch in batches for x in slices(batch, 1)):
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 low = (text or "").lower()
@@ -189,22 +204,17 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                     else:
                         light.add(x)
                 found = every & heavy.keys()
-                n, scores, spans = 0, [], []
                 if len(low) != len(text):  # lower-casing moved characters: spans refer to the lower-cased text's sentences by number
                     original = sentences(text)
-                parts = sentences(low)
-                if found:
-                    for k, (a, e) in enumerate(parts):
-                        own = [x for x in set(_WORD.findall(low, a, e)) & found]
-                        if own:
-                            f = {i for x in own for i in heavy[x]}
-                            p = float(m.sentence_scores(np.asarray([m.weights[list(f)].sum(dtype=np.float64)]))[0])
-                            scores.append(p)
-                            if p >= SENTENCE_THRESHOLD:
-                                a, e = (a, e) if len(low) == len(text) else original[k] if k < len(original) else (a, e)
-                                spans.append({"begin": a, "end": e, "score": p})
-                n = len(parts) - len(scores)
-                rows.append({"doc_id": doc, "score": noisy_or(np.asarray(scores + [0.0])) if scores else min(1e-3, base * n), "sentences": spans} if every else {"doc_id": doc, "score": 0.0, "sentences": []})
+                sums, places = [], []
+                for k, (a, e) in enumerate(sentences(low)):
+                    if _WORD.search(low, a, e):
+                        f = {i for x in set(_WORD.findall(low, a, e)) & found for i in heavy[x]} if found else ()
+                        sums.append(float(m.weights[list(f)].sum(dtype=np.float64)) if f else 0.0)
+                        places.append((a, e) if len(low) == len(text) else original[k] if k < len(original) else (a, e))
+                p = m.sentence_scores(np.asarray(sums))
+                spans = [{"begin": places[k][0], "end": places[k][1], "score": float(p[k])} for k in np.flatnonzero(p >= SENTENCE_THRESHOLD).tolist()]
+                rows.append({"doc_id": doc, "score": noisy_or(p), "sentences": spans})
             if len(heavy) + len(light) > CACHE_WORDS:
                 heavy.clear()
                 light.clear()

@@ -1,13 +1,14 @@
 """Quality rules with cross-document line frequency; DataFrame functions only.
 
 Per document, words, symbols, repeated lines and repeated 5-word windows are counted inside its row. Across documents,
-normalised lines are hashed and the distinct texts of a host that contain a line are counted: exact copies count once,
-so copying a document does not condemn it. Lines in at least MIN_DOCS texts and in the share LIMIT of the host's texts
-are boilerplate; a document that would lose more than DEPLETED of its words with them is rejected.
-
-Counting shuffles (host, line, text) hashes, first by all three, then with partial counts by host and line, so
-neither a hot host nor a hot line meets in one task. Since a host has at most 1/LIMIT times its mean number of lines
-per text as boilerplate lines, their table is small; it is broadcast only if its measured size allows.
+normalised lines are hashed and the distinct documents of a host that contain a line are counted. Lines in at least
+MIN_DOCS documents and in the share LIMIT of the host's documents are boilerplate; they are removed, and a document that
+loses more than DEPLETED of its words with them is rejected.
+
+Lines are hashed once and kept as rows of a few bytes. Counting shuffles (host, line, document), first by all three, then
+with partial counts by host and line, so neither a hot host nor a hot line meets in one task. Since a host has at most
+1/LIMIT times its mean number of lines per document as boilerplate lines, their table is small; it and the table of
+removed places are broadcast only if their measured size allows.
 """
 
 from __future__ import annotations
@@ -15,14 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, pick
+from .common import BROADCAST_BYTES, broadcast_if_small, materialize, pick
 
 MIN_DOCS = 10
 LIMIT = 0.01
 DEPLETED = 0.7
-#: Boilerplate lines that are broadcast at most (about 40 bytes each); more are joined by a shuffle.
-BROADCAST_LINES = 500_000
 BLANK = r"[\x20\x09-\x0D]+"
+WORDED = r"[^\x20\x09-\x0D]"
 
 
 def let(value: Column, then) -> Column:
@@ -36,7 +36,7 @@ def words(text: Column) -> Column:
 
 def lines(text: Column) -> Column:
     """Lines with a word."""
-    return F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    return F.filter(F.split(text, "\n"), lambda x: x.rlike(WORDED))
 
 
 def normalised(line: Column) -> Column:
@@ -66,59 +66,61 @@ def repeat_words(w: Column, size: int = 5) -> Column:
     return F.when(F.size(w) < size + 1, F.lit(0)).otherwise(let(w, windows))
 
 
-def base(docs: DataFrame) -> DataFrame:
-    """Per-document counts next to (doc_id, host, content) of docs (doc_id, text, host)."""
-    d = docs.withColumn("w", words("text"))
-    counted = d.select(
-        "doc_id", "host", "content", F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
-        F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
-        let(lines(F.col("text")), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        repeat_words(F.col("w")).cast("long").alias("n_repeat_words"),
-    )
-    return counted.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
+def line_rows(docs: DataFrame) -> DataFrame:
+    """(host, doc, content, at, line): hashes of the lines with a word of docs (host, doc, content, text), by their place in the text."""
+    rows = docs.select("host", "doc", "content", F.posexplode(F.split("text", "\n")).alias("at", "own")).where(F.col("own").rlike(WORDED))
+    return rows.select("host", "doc", "content", "at", F.xxhash64(normalised(F.col("own"))).alias("line"))
 
 
-def boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, limit: float = LIMIT) -> DataFrame:
-    """(host, line): hashes of normalised lines above the host's limit."""
-    per = docs.select("host", "content", F.explode(F.array_distinct(F.transform(lines(F.col("text")), lambda x: F.xxhash64(normalised(x))))).alias("line"))
-    seen = per.distinct().groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
-    sizes = docs.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("texts"))
-    return seen.join(sizes, "host").where(F.col("n") >= limit * F.col("texts")).select("host", "line")
+def boilerplate(every: DataFrame, docs: DataFrame, min_docs: int = MIN_DOCS, limit: float = LIMIT) -> DataFrame:
+    """(host, line): of line_rows() those above the host's limit; docs: (host, doc)."""
+    seen = every.select("host", "line", "doc").distinct().groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
+    sizes = docs.select("host", "doc").distinct().groupBy("host").agg(F.count("*").alias("docs"))
+    return seen.join(sizes, "host").where(F.col("n") >= limit * F.col("docs")).select("host", "line")
 
 
 def judge(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, limit: float = LIMIT, depleted: float = DEPLETED) -> DataFrame:
-    """Counts and verdict of every row of docs (doc_id, text, and the column named by host).
+    """Counts, verdict and cleaned text of every row of docs (doc_id, text, and the column named by host).
 
-    doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_line_words (words on
-    boilerplate lines) and kept. A null text has no words, and so fails; a null host is a host of its own; rows that
-    repeat are judged each; other columns are ignored.
+    doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_line_words (words on boilerplate
+    lines), kept and text (without boilerplate lines). A null text has no words, and so fails, and stays null; a null host
+    is a host of its own; rows that share a doc_id are one document of a host but are judged each, rows without one are as
+    many documents as they have texts; other columns are ignored.
     """
     d = pick(docs, doc_id="doc_id bigint", text="text string", host=f"{host} string")
-    d = d.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("host", F.lit("")).alias("host")).withColumn("content", F.xxhash64("text"))
-    bad = materialize(boilerplate(d, min_docs, limit), "boilerplate")
-    if bad.count() <= BROADCAST_LINES:
-        bad = F.broadcast(bad)
-    every = d.select("host", "content", F.posexplode(lines(F.col("text"))).alias("at", "own")).select("host", "content", "at", F.xxhash64(normalised(F.col("own"))).alias("line"), "own")
-    hits = every.join(bad, ["host", "line"]).select("host", "content", "at", F.size(words(F.col("own"))).alias("n"))
-    lost = hits.distinct().groupBy("host", "content").agg(F.sum("n").alias("n_line_words"))  # copies of a text in a host agree
-    found = base(d).join(lost, ["host", "content"], "left").withColumn("n_line_words", F.coalesce("n_line_words", F.lit(0)).cast("long"))
+    d = d.select("doc_id", F.col("text").isNull().alias("none"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("host", F.lit("")).alias("host"))
+    d = d.withColumn("content", F.xxhash64("text")).withColumn("doc", F.struct("doc_id", F.when(F.col("doc_id").isNull(), F.col("content")).alias("text")))
+    every = materialize(line_rows(d), "lines")
+    bad = broadcast_if_small(materialize(boilerplate(every, d, min_docs, limit), "boilerplate"), 40)
+    hits = every.join(bad, ["host", "line"]).select("host", "content", "at").distinct()  # copies of a text in a host agree
+    lost = materialize(hits.groupBy("host", "content").agg(F.sort_array(F.collect_list("at")).alias("removed")), "removed")
+    size = lost.agg(F.sum(48 + F.length("host") + 4 * F.size("removed"))).first()[0] or 0
+    found = d.join(F.broadcast(lost) if size <= BROADCAST_BYTES else lost, ["host", "content"], "left").withColumn("w", words(F.col("text")))
+
+    def on_lines(own: Column) -> Column:
+        return F.aggregate(F.transform("removed", lambda i: F.size(words(F.get(own, i)))), F.lit(0), lambda a, n: a + n)
+
+    split = F.split("text", "\n")
+    left = F.array_join(F.filter(split, lambda x, i: ~F.array_contains("removed", i)), "\n")
+    counted = found.select(
+        "doc_id", F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
+        let(lines(F.col("text")), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        repeat_words(F.col("w")).cast("long").alias("n_repeat_words"),
+        F.coalesce(F.when(F.col("removed").isNotNull(), let(split, on_lines)), F.lit(0)).cast("long").alias("n_line_words"),
+        F.when(F.col("none"), None).when(F.col("removed").isNull(), F.col("text")).otherwise(left).alias("text"),
+    )
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     kept = ~F.col("base_failed") & (F.col("n_line_words") <= depleted * F.col("n_words"))
-    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_line_words", kept.alias("kept"))
-
-
-def clean_lines(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, limit: float = LIMIT) -> DataFrame:
-    """docs (doc_id, text, and the column named by host) with boilerplate lines removed from text; other columns are dropped."""
-    d = pick(docs, doc_id="doc_id bigint", text="text string", host=f"{host} string").withColumn("host", F.coalesce("host", F.lit("")))
-    d = d.withColumn("content", F.xxhash64(F.coalesce("text", F.lit(""))))
-    bad = materialize(boilerplate(d.where("text is not null"), min_docs, limit), "boilerplate").groupBy("host").agg(F.collect_set("line").alias("bad"))
-    kept = F.filter(F.split("text", "\n"), lambda x: ~F.coalesce(F.array_contains("bad", F.xxhash64(normalised(x))), F.lit(False)))
-    return d.join(bad, "host", "left").select("doc_id", F.array_join(kept, "\n").alias("text"), "host")
+    judged = counted.withColumn("base_failed", failed)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_line_words", kept.alias("kept"), "text")
 
 
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
-    return judge(table(spark, sf_dir, "documents"))
+    found = judge(table(spark, sf_dir, "documents"))
+    return found.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)).drop("text")
 
 
 SQL = r"""
@@ -130,15 +132,17 @@ dup AS (SELECT r, count(*) - count(DISTINCT x) AS n_dup_lines FROM own GROUP BY
 win AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
 twice AS (SELECT r, i FROM win QUALIFY count(*) OVER (PARTITION BY r, s) > 1),
 rep AS (SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY r),
-texts AS (SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY host),
-seen AS (SELECT host, norm, count(DISTINCT text) AS n FROM own JOIN d USING (r) GROUP BY host, norm),
-bad AS (SELECT host, norm FROM seen JOIN texts USING (host) WHERE n >= 10 AND n >= 0.01 * texts),
-lost AS (SELECT r, sum(n) AS n_line_words FROM own JOIN d USING (r) JOIN bad USING (host, norm) GROUP BY r),
+docs AS (SELECT host, count(DISTINCT doc_id) AS docs FROM d GROUP BY host),
+seen AS (SELECT host, norm, count(DISTINCT doc_id) AS n FROM own JOIN d USING (r) GROUP BY host, norm),
+bad AS (SELECT host, norm FROM seen JOIN docs USING (host) WHERE n >= 10 AND n >= 0.01 * docs),
+gone AS (SELECT r, pos, n FROM own JOIN d USING (r) JOIN bad USING (host, norm)),
+lost AS (SELECT r, sum(n) AS n_line_words FROM gone GROUP BY r),
+clean AS (SELECT l.r, sha256(coalesce(string_agg(x, chr(10) ORDER BY l.pos) FILTER (gone.r IS NULL), '')) AS text_sha256 FROM l LEFT JOIN gone ON gone.r = l.r AND gone.pos = l.pos GROUP BY l.r),
 b AS (
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
         CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
-        CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(n_line_words, 0) AS BIGINT) AS n_line_words
-    FROM d JOIN w USING (r) LEFT JOIN dup USING (r) LEFT JOIN rep USING (r) LEFT JOIN lost USING (r)
+        CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(n_line_words, 0) AS BIGINT) AS n_line_words, text_sha256
+    FROM d JOIN w USING (r) LEFT JOIN dup USING (r) LEFT JOIN rep USING (r) LEFT JOIN lost USING (r) LEFT JOIN clean USING (r)
 ),
 f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b)
 SELECT *, NOT base_failed AND n_line_words <= 0.7 * n_words AS kept FROM f

@@ -4,8 +4,8 @@ Every run of SPAN consecutive sentences with MIN_WORDS words, and every shorter
 hashed (exactly what SQL compares). With whole, for every sentence the shortest runs of two or more sentences that
 begin or end with it and have MIN_WORDS words are hashed instead, next to single sentences of LONG_WORDS: together they
 cover every repeated passage of two or more sentences and MIN_WORDS words, however short its sentences are, and in
-scripts without blanks two code points count as a word. Equal runs meet by their 128-bit hash, and the one in the smallest doc_id, in it the foremost, is the first.
-Sentences under any other are removed. A run inside a document counts once before the shuffle, aggregation by hash
+scripts without blanks two code points count as a word. Equal runs meet by their 128-bit hash, and the one in the
+smallest doc_id, in it the foremost, is the first. Sentences under any other are removed. A run inside a document counts once before the shuffle, aggregation by hash
 combines on the map side, and only hashes that several documents share are joined back, so a passage in a third of
 all documents costs a row for each of them.
 """
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, chunks, materialize, utf8
+from .common import ASCII_LOWER, broadcast_if_small, identity, materialize, slices, utf8
 
 SPAN = 3
 MIN_WORDS = 10
@@ -85,57 +85,78 @@ def _halves(digest: bytes) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
 
 
-def cut(text: bytes, repeated: set[int], whole: bool = False) -> tuple[bytes, int, int]:
-    """The text without sentences under runs whose hash begins with one of repeated or came before in it; sentences, removed ones."""
+def cut(text: bytes, repeated: set[int] | None, whole: bool = False) -> tuple[bytes, int, int]:
+    """The text without sentences under runs whose hash begins with one of repeated (None: any) or came before in it; sentences, removed ones."""
     found = pieces(text)
     places, own = runs(found, whole)
     gone: set[int] = set()
     seen: set[bytes] = set()
     for a, b, h in own:
-        if h in seen or _halves(h)[0] in repeated:
+        if repeated is None or h in seen or _halves(h)[0] in repeated:
             gone.update(places[a:b])
         seen.add(h)
     return b"".join(p for i, p in enumerate(found) if i not in gone) if gone else text, len(places), len(gone)
 
 
 def repeated_runs(docs: DataFrame, whole: bool = False) -> DataFrame:
-    """(order, runs): of every document (order, text) the first halves of run hashes that a smaller order has too."""
+    """(order, tie, runs): of every document (order, tie, text) the first halves of run hashes that one before it has too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True):
+        for b in (x for batch in batches for x in slices(batch, 2)):
+            for doc, tie, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), utf8(b.column(2)), strict=True):
                 if text:
                     own = [_halves(h) for h in {h for _, _, h in runs(pieces(text), whole)[1]}]
                     if own:
                         a, c = zip(*own, strict=True)
-                        yield pa.RecordBatch.from_arrays([pa.array([doc] * len(a), pa.int64()), pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["order", "a", "b"])
-
-    rows = materialize(docs.select("order", "text").mapInArrow(run, "order bigint, a bigint, b bigint"), "runs")
-    first = rows.groupBy("a", "b").agg(F.min("order").alias("first"), F.max("order").alias("last")).where("first < last").drop("last")
-    return rows.join(materialize(first, "repeated").hint("merge"), ["a", "b"]).where(F.col("order") > F.col("first")).groupBy("order").agg(F.collect_set("a").alias("runs"))
+                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ([doc] * len(a), [tie] * len(a), a, c)], ["order", "tie", "a", "b"])
+
+    rows = materialize(docs.select("order", "tie", "text").mapInArrow(run, "order bigint, tie bigint, a bigint, b bigint"), "runs")
+    at = F.struct("order", "tie")
+    first = rows.groupBy("a", "b").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first < last").drop("last")
+    later = rows.join(materialize(first, "repeated").hint("merge"), ["a", "b"]).where(at > F.col("first"))
+    return later.groupBy("order", "tie").agg(F.collect_set("a").alias("runs"))
+
+
+def ordered(base: DataFrame) -> DataFrame:
+    """base (row, doc_id, text) with the place of every row: order (doc_id, null after all others), tie (a hash of the text
+    where ids are null or shared, else 0) and again (whether an equal row with the same id comes before)."""
+    shared = materialize(base.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", F.lit(True).alias("shared")), "shared")
+    order = F.coalesce("doc_id", F.lit(LAST)).alias("order")
+    plain = base.withColumn("shared", F.lit(None).cast("boolean"))
+    if not shared.isEmpty():
+        plain = base.join(broadcast_if_small(shared, 16), "doc_id", "left")
+    tied = F.col("doc_id").isNull() | F.col("shared").isNotNull()
+    if shared.isEmpty() and base.where("doc_id is null").isEmpty():
+        return base.select("row", order, F.lit(0).cast("bigint").alias("tie"), "doc_id", "text", F.lit(False).alias("again"))
+    alone = plain.where(~tied).select("row", order, F.lit(0).cast("bigint").alias("tie"), "doc_id", "text", F.lit(False).alias("again"))
+    rows = plain.where(tied).select("row", order, F.xxhash64("text").alias("tie"), identity("text").alias("own"), "doc_id", "text", F.monotonically_increasing_id().alias("number"))
+    rows = materialize(rows, "tied")  # keeps the numbers
+    if rows.isEmpty():
+        return alone
+    copies = rows.groupBy("order", "own").agg(F.min("number").alias("first"), F.count("*").alias("n")).where("n > 1").select(F.col("order").alias("to"), F.col("own").alias("of"), "first")
+    copies = broadcast_if_small(materialize(copies, "copies"), 48)
+    rows = rows.join(copies, (F.col("order") == F.col("to")) & (F.col("own") == F.col("of")), "left")
+    return alone.unionByName(rows.select("row", "order", "tie", "doc_id", "text", F.coalesce(F.col("number") > F.col("first"), F.lit(False)).alias("again")))
 
 
 def dedup_passages(docs: DataFrame, whole: bool = False) -> DataFrame:
     """(row, doc_id, text, n_sentences, n_removed) for every row of docs (doc_id, text); row holds the input row but for its text.
 
-    Null and empty texts stay as they are, with no sentences. A null doc_id comes after all others. Rows that share a
-    doc_id have no order: none of them loses a passage for another. Other columns, whatever their names, are only
-    inside row. whole: also passages of short sentences, of two sentences and of scripts without blanks.
+    Null and empty texts stay as they are, with no sentences. A null doc_id comes after all others; rows without an id,
+    or that share one, come in the order of a hash of their text, and of equal rows all but one lose every passage. Other
+    columns, whatever their names, are only inside row. whole: also passages of short sentences, of two sentences and of
+    scripts without blanks.
     """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row")
-    base = docs.select(row, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("order"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = base.join(repeated_runs(base, whole), "order", "left").select("row", "doc_id", "text", "runs")
+    base = ordered(docs.select(row, F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    joined = base.join(repeated_runs(base.where("not again"), whole), ["order", "tie"], "left").select("row", "doc_id", "text", "runs", "again")
     schema = pa.schema([("text", pa.string()), ("n_sentences", pa.int64()), ("n_removed", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = utf8(b.column(2))
-            at = 0
-            for held in chunks(zip(texts, b.column(3).to_pylist(), strict=True), lambda x: len(x[0] or b""), 16 << 20):
-                done = [cut(t, set(r or ()), whole) if t else (t, 0, 0) for t, r in held]
-                new = pa.RecordBatch.from_pylist([{"text": None if t is None else t.decode(), "n_sentences": n, "n_removed": k} for t, n, k in done], schema=schema)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(done)), b.column(1).slice(at, len(done)), *new.columns], ["row", "doc_id", *schema.names])
-                at += len(done)
+        for b in (x for batch in batches for x in slices(batch, 2)):
+            done = [cut(t, None if again else set(r or ()), whole) if t else (t, 0, 0) for t, r, again in zip(utf8(b.column(2)), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
+            new = pa.RecordBatch.from_pylist([{"text": None if t is None else t.decode(), "n_sentences": n, "n_removed": k} for t, n, k in done], schema=schema)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *new.columns], ["row", "doc_id", *schema.names])
 
     return joined.mapInArrow(run, f"row {joined.schema['row'].dataType.simpleString()}, doc_id bigint, text string, n_sentences bigint, n_removed bigint")
 

@@ -90,6 +90,19 @@ def test_substrings_equal_brute_force(spark):
     assert {r.doc_id: r.text for r in found.collect()} == want
 
 
+def test_substrings_of_rows_that_share_or_lack_an_id(spark):
+    rng = random.Random(4)
+    passage = [" ".join(f"{k}{rng.choice('abcdefgh')}{i}" for i in range(12)) + ". " for k in range(6)]
+    rows = [(None, passage[0] + passage[1]), (None, passage[0] + passage[1]), (None, passage[0] + passage[1] + passage[2] + passage[3] + "own words."), (5, passage[2] + passage[3] + passage[4]), (5, passage[2] + passage[3] + passage[4]), (5, passage[3] + passage[4] + passage[5]), (7, "x"), (None, None), (None, None)]
+    found = substrings.dedup_passages(spark.createDataFrame(rows, "doc_id bigint, text string"), True).collect()
+    assert len(found) == len(rows)
+    left = "".join(r.text or "" for r in found)
+    assert [left.count(p.strip()) for p in passage] == [1] * 6 and left.count("own words.") == 1
+    assert [r.n_removed for r in found if r.doc_id == 7] == [0] and sum(r.text is None for r in found) == 2
+    none = substrings.dedup_passages(spark.createDataFrame([(None, "a b c d e f. g h i j k l. " * 2)] * 40, "doc_id bigint, text string")).collect()
+    assert sorted(len(r.text.strip()) for r in none)[:39] == [0] * 39
+
+
 def brute_components(ids, fps, limit):
     parent = list(range(len(ids)))
 
@@ -250,8 +263,18 @@ def test_quality_rules(spark):
     rows = [(i, boiler * 3 + f"only {i}", "h") for i in range(20)] + [(100 + i, " ".join(f"x{i}{k}" for k in range(40)) + "\n" + boiler.strip(), "h") for i in range(5)] + [(200, None, "h"), (201, "a b c d e " * 10, "g")]
     found = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
     assert not found[0].kept and found[0].n_line_words == 21 and found[100].kept and found[200].base_failed and found[201].n_repeat_words == 50
-    clean = {r.doc_id: r.text for r in quality.clean_lines(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
-    assert clean[0] == "only 0" and clean[200] is None and "Subscribe" not in clean[100]
+    assert found[0].text == "only 0" and found[200].text is None and "Subscribe" not in found[100].text and found[201].text == rows[-1][1]
+
+
+def test_quality_rules_count_documents_of_a_host(spark):
+    """Copies are documents each, repeated rows are one; hosts are counted apart, null is one of them."""
+    copies = [(i, "same line of a copied page\nand another line of it", "h") for i in range(12)]
+    again = [(50, "line of one document in many rows\nwith words enough to pass the lower bound of ten", "h")] * 15
+    rows = copies + again + [(100 + i, f"line of a host without name\n{' '.join(f'w{i}{k}' for k in range(30))}", None) for i in range(12)] + [(200, "line of a host without name " * 1 + " ".join(f"v{k}" for k in range(20)), "g")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").select("*", F.lit(1).alias("line"), F.lit(2).alias("removed"))
+    found = {r.doc_id: r for r in quality.judge(docs).collect()}
+    assert not found[0].kept and found[0].text == "" and found[50].kept and found[50].n_line_words == 0
+    assert found[100].kept and found[100].n_line_words == 6 and found[100].text.startswith("w00") and found[200].n_line_words == 0
 
 
 def held_out_rows(spark, sf_dir):
@@ -272,6 +295,40 @@ def test_toxicity_on_held_out_labels(spark):
     assert sum(r.predicted for r in found if r.toxic == 0) <= 0.03 * len(found)
 
 
+def test_toxicity_score_and_gradient_by_definition(spark):
+    rng = np.random.default_rng(3)
+    weights = np.zeros(toxicity.BUCKETS, np.float32)
+    for word in ("vile", "scum", "kind"):
+        weights[toxicity.features(word)] = rng.normal(0, 3, len(toxicity.features(word)))
+    model = toxicity.Model(weights, -4.0)
+    texts = ["A vile day. Kind scum!\nNothing here", "VILE vile. 12 34. ...", "", None, "!!! 5", "word. " * 300, "İ vile. x"]
+    want = []
+    for t in texts:
+        none = 1.0
+        for a, e in toxicity.sentences((t or "").lower()):
+            own = {i for w in set(toxicity._WORD.findall((t or "").lower()[a:e])) for i in toxicity.features(w)}
+            if own:
+                none *= 1 - 1 / (1 + np.exp(4.0 - sum(float(weights[i]) for i in own)))
+        want.append(1 - none)
+    found = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), model).collect()}
+    assert [found[i] for i in range(len(texts))] == pytest.approx(want)
+    feature, sentence, owner = np.array([0, 1, 1, 2, 0]), np.array([0, 0, 1, 2, 3]), np.array([0, 0, 1, 2])
+    plain, y, w, b = np.array([1.0, 0, 3]), np.array([1.0, 0, 1]), np.array([0.3, -0.7, 1.1]), -1.2
+    value, gw, gb = toxicity.loss(w, b, feature, sentence, owner, plain, y)
+    for k in range(3):
+        step = np.eye(3)[k] * 1e-6
+        assert gw[k] == pytest.approx((toxicity.loss(w + step, b, feature, sentence, owner, plain, y)[0] - value) / 1e-6, rel=1e-3)
+    assert gb == pytest.approx((toxicity.loss(w, b + 1e-6, feature, sentence, owner, plain, y)[0] - value) / 1e-6, rel=1e-3)
+
+
+def test_toxicity_learns_nothing_from_held_out_rows(spark):
+    rows = [(i, f"vile thing {i}. fine words here." if i % 2 else f"fine words {i} here.") for i in range(200)]
+    held = lambda d: zlib.crc32(str(d).encode()) % 4 == 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    models = [toxicity.fit(docs, spark.createDataFrame([(d, 1 - d % 2 if held(d) and turned else d % 2) for d, _ in rows] + [(9, None), (None, 1), (9, 1)], "doc_id bigint, toxic int")) for turned in (False, True)]
+    assert models[0].bias == models[1].bias and (models[0].weights == models[1].weights).all() and models[0].weights.any()
+
+
 def test_toxicity_learns_sentences_from_document_labels():
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("aeioulmnrst") for _ in range(6))

@@ -65,7 +65,7 @@ def test_line_dedup_of_a_crowd(spark):
 
 def test_sketch_is_not_copied_into_rows(spark):
     found = spark.createDataFrame([(1, "a b")], "h bigint, norm string").withColumn("doc_id", F.lit(1))
-    plan = linededup.signed(found, spark.createDataFrame([([0] * 8,)], "sketch array<bigint>"), linededup.Fraction(4, 5))._jdf.queryExecution().optimizedPlan().toString()
+    plan = linededup.signed(found, spark.createDataFrame([([0] * 8,)], "sketch array<tinyint>"), linededup.Fraction(4, 5))._jdf.queryExecution().optimizedPlan().toString()
     assert "AS sketch" not in plan.split("Project")[1]
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import groupby, islice
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -9,25 +12,17 @@ from pyspark.sql import functions as F
 from ..functions.nodes import noise, risky_tables, similarity, table_lines, word_set
 from ..functions.text import tokens_by_length
 
+#: Hash buckets of the word counts by which words are ordered.
+BUCKETS = 1 << 18
 
-def duplicate_pairs(nodes: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """(doc, a, b, similarity): pairs of nodes (doc, idx, text) of a document whose word sets reach the Jaccard threshold.
 
-    Nodes with equal word sets are one class, named by its smallest idx; pairs are of classes, so that n copies make n
-    rows in duplicate_classes() and no n squared pairs. Prefix filter: two sets that reach the threshold share one of
-    their rarest words, so only nodes that share one are compared.
-    """
-    found = classes(nodes).where("size(w) > 0")
-    word = found.select("doc", "idx", F.size("w").alias("n"), F.explode("w").alias("t"))
-    counts = word.groupBy("t").agg(F.count("*").alias("c"))
-    order = Window.partitionBy("doc", "idx").orderBy("c", "t")
-    prefix = word.join(counts, "t").withColumn("k", F.row_number().over(order)).where(F.col("k") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
-    a, b = prefix.alias("a"), prefix.alias("b")
-    like = (F.col("a.doc") == F.col("b.doc")) & (F.col("a.t") == F.col("b.t")) & (F.col("a.idx") < F.col("b.idx")) & (F.col("a.n") >= threshold * F.col("b.n") - 1e-9) & (F.col("b.n") >= threshold * F.col("a.n") - 1e-9)
-    pairs = a.join(b, like).select("a.doc", F.col("a.idx").alias("a"), F.col("b.idx").alias("b")).distinct()
-    side = lambda k: found.select("doc", F.col("idx").alias(k), F.col("w").alias(f"w{k}"))
-    both = pairs.join(side("a"), ["doc", "a"]).join(side("b"), ["doc", "b"])
-    return both.withColumn("similarity", similarity(F.col("wa"), F.col("wb"))).where(F.col("similarity") >= threshold).select("doc", "a", "b", F.round("similarity", 3).alias("similarity"))
+def _frequencies(words: DataFrame) -> DataFrame:
+    """One row: for every hash bucket of words (w: arrays of hashes) four times the binary logarithm of its count, in the bits from 56 on."""
+    bucket = F.col("x").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")
+    counts = words.select(F.explode("w").alias("x")).groupBy(bucket).agg(F.count("*").alias("n"))
+    every = words.sparkSession.range(BUCKETS).join(counts, F.col("id") == F.col("b"), "left")
+    level = F.shiftleft(F.least(F.lit(120), F.round(4 * F.log2(F.coalesce("n", F.lit(1)))).cast("bigint")), 56)
+    return every.groupBy().agg(F.transform(F.array_sort(F.collect_list(F.struct("id", level.alias("level")))), lambda x: x.level).alias("frequency"))
 
 
 def classes(nodes: DataFrame) -> DataFrame:
@@ -37,96 +32,146 @@ def classes(nodes: DataFrame) -> DataFrame:
 
 def duplicate_classes(nodes: DataFrame) -> DataFrame:
     """(doc, idx, class): every node's class of equal word sets."""
-    return nodes.select("doc", "idx", F.min("idx").over(Window.partitionBy("doc", word_set(F.col("text")))).alias("class"))
+    sets = nodes.select("doc", "idx", _identity(word_set(F.col("text"))).alias("k"))
+    first = sets.groupBy("doc", "k").agg(F.min("idx").alias("class")).select(F.col("doc").alias("to"), F.col("k").alias("of"), "class")
+    return sets.join(first, F.col("doc").eqNullSafe(F.col("to")) & (F.col("k") == F.col("of"))).select("doc", "idx", "class")
+
+
+def _identity(words: Column) -> Column:
+    """128 bits by which equal word sets agree."""
+    return F.struct(F.xxhash64(words).alias("a"), F.xxhash64(F.lit(1), words).alias("b"))
+
+
+def duplicate_pairs(nodes: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """(doc, a, b, similarity): pairs of nodes (doc, idx, text) of a document whose word sets reach the Jaccard threshold.
+
+    Nodes with equal word sets, empty ones included, are one class, named by its smallest idx; pairs are of classes, so
+    that n copies make n rows in duplicate_classes() and no n squared pairs. Prefix filter: two sets that reach the
+    threshold share one of their rarest words, so a node makes rows for these alone; its words are put in order within its
+    row, by counts in a table of fixed size. Length and positions of the shared word rule out most other pairs.
+    """
+    found = classes(nodes).where("size(w) > 0")
+    hashed = found.select("doc", "idx", F.transform("w", lambda x: F.xxhash64(x)).alias("w"))
+    counted = hashed.select("doc", "idx", "w", _frequencies(hashed).scalar().alias("frequency"))
+    rank = lambda x: F.get(F.col("frequency"), x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).bitwiseOR(x.bitwiseAND(F.lit(2**56 - 1)))
+    n = F.size("w")
+    prefix = F.slice(F.array_sort(F.transform("w", rank)), F.lit(1), (n - F.ceil(n * threshold - 1e-9) + 1).cast("int"))
+    rows = counted.select("doc", "idx", n.alias("n"), F.posexplode(prefix).alias("at", "t"))
+    a, b = rows.alias("a"), rows.alias("b")
+    share = threshold / (1 + threshold)
+    na, nb = F.col("a.n"), F.col("b.n")
+    like = (na >= threshold * nb - 1e-9) & (nb >= threshold * na - 1e-9) & (F.least(na - F.col("a.at"), nb - F.col("b.at")) >= share * (na + nb) - 1e-9)
+    pairs = a.join(b, (F.col("a.doc") == F.col("b.doc")) & (F.col("a.t") == F.col("b.t")) & (F.col("a.idx") < F.col("b.idx")) & like)
+    pairs = pairs.select("a.doc", F.col("a.idx").alias("a"), F.col("b.idx").alias("b")).distinct()
+    side = lambda k: found.select("doc", F.col("idx").alias(k), F.col("w").alias(f"w{k}"))
+    both = pairs.join(side("a"), ["doc", "a"]).join(side("b"), ["doc", "b"])
+    return both.withColumn("similarity", similarity(F.col("wa"), F.col("wb"))).where(F.col("similarity") >= threshold - 1e-12).select("doc", "a", "b", F.round("similarity", 3).alias("similarity"))
+
+
+def _resolve(members: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+    """The nodes of one document that go: members (doc, idx, class, size) are the nodes that are similar to any other."""
+    near: dict[int, list[int]] = {}
+    for a, b in zip(edges["a"], edges["b"], strict=True):
+        near.setdefault(a, []).append(b)
+        near.setdefault(b, []).append(a)
+    size = dict(zip(members["idx"], members["size"], strict=True))
+    kept: dict[int, list[int]] = {}  # by class, ascending
+    home, gone = {}, []
+    for i, c in sorted(zip(members["idx"], members["class"], strict=True)):
+        rivals = [kept[k][0] for k in (c, *near.get(c, ())) if kept.get(k)]
+        if rivals:
+            first = min(rivals)
+            if size[i] <= size[first]:
+                gone.append(i)
+                continue
+            gone.append(first)
+            kept[home[first]].remove(first)
+        kept.setdefault(c, []).append(i)
+        home[i] = c
+    return pd.DataFrame({"doc": members["doc"].iloc[:1].repeat(len(gone)).to_numpy() if len(members) else [], "idx": gone})
 
 
 def drop_duplicates(nodes: DataFrame, threshold: float = 0.85) -> DataFrame:
     """nodes (doc, idx, text) that stay: each is compared with those kept before it in its document; at the first that is
-    similar, the strictly longer one stays. A document's nodes are resolved together, by an index of their words."""
-    columns = nodes.columns
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in nodes.schema)
-
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("idx", kind="stable").reset_index(drop=True)
-        kept: dict[int, set] = {}
-        by_word: dict[str, set[int]] = {}
-        empty: list[int] = []
-
-        def drop(i: int) -> None:
-            for x in kept.pop(i):
-                by_word[x].discard(i)
-
-        for i, (w, text) in enumerate(zip(f["_w"], f["text"], strict=True)):
-            own = set(w)
-            near = None
-            if own:
-                for j in sorted(set().union(*(by_word.get(x, ()) for x in own))):
-                    if len(own & kept[j]) >= threshold * len(own | kept[j]) - 1e-12:
-                        near = j
-                        break
-            else:
-                near = empty[0] if empty else None
-            if near is not None:
-                if len(text or "") <= len(f["text"][near] or ""):
-                    continue
-                if own:
-                    drop(near)
-                else:
-                    empty.remove(near)
-            if own:
-                kept[i] = own
-                for x in own:
-                    by_word.setdefault(x, set()).add(i)
-            else:
-                empty.append(i)
-        return f.loc[sorted([*kept, *empty]), columns]
-
-    return nodes.withColumn("_w", word_set(F.coalesce("text", F.lit("")))).groupBy("doc").applyInPandas(run, kind)
-
-
-def adaptive_minimum(least: int = 150) -> Column:
-    """Over a document: half of the mean tokens, at most `least`, at least 10."""
-    mean = F.avg(tokens_by_length(F.col("text"), 1)).over(Window.partitionBy("doc"))
-    return F.greatest(F.lit(10), F.least(F.lit(least), F.floor(mean * 0.5))).cast("bigint")
-
-
-def merge_short(nodes: DataFrame, least: int = 150) -> DataFrame:
+    similar, the strictly longer one stays. Null texts are empty ones; nodes without a doc stay.
+
+    Only nodes that are similar to any other are looked at in order, as rows of a few numbers; texts do not move.
+    """
+    own = nodes.select("doc", "idx", F.coalesce("text", F.lit("")).alias("text")).where("doc is not null")
+    sets = own.select("doc", "idx", F.length("text").alias("size"), _identity(word_set(F.col("text"))).alias("k"))
+    counted = sets.groupBy("doc", "k").agg(F.min("idx").alias("class"), F.count("*").alias("n"))
+    pairs = duplicate_pairs(own, threshold).select("doc", "a", "b")
+    tied = counted.where("n > 1").select("doc", "class").unionByName(pairs.select("doc", F.col("a").alias("class"))).unionByName(pairs.select("doc", F.col("b").alias("class"))).distinct()
+    members = sets.join(counted.join(tied, ["doc", "class"], "left_semi"), ["doc", "k"]).select("doc", "idx", "class", "size")
+    kind = nodes.schema["doc"].dataType.simpleString()
+    anew = lambda d: d.select(*(F.col(c).alias(c) for c in d.columns))  # noqa: E731  both have doc from the same rows
+    gone = anew(members).groupBy("doc").cogroup(anew(pairs).groupBy("doc")).applyInPandas(_resolve, f"doc {kind}, idx {nodes.schema['idx'].dataType.simpleString()}")
+    return nodes.join(gone.select(F.col("doc").alias("_doc"), F.col("idx").alias("_idx")), (F.col("doc") == F.col("_doc")) & (F.col("idx") == F.col("_idx")), "left_anti")
+
+
+def document_minimum(nodes: DataFrame, least: int = 150) -> DataFrame:
+    """(doc, least): half of the mean tokens of a document's nodes, at most `least`, at least 10."""
+    mean = F.avg(tokens_by_length(F.coalesce("text", F.lit("")), 1))
+    return nodes.groupBy("doc").agg(F.greatest(F.lit(10), F.least(F.lit(least), F.floor(mean * 0.5))).cast("bigint").alias("least"))
+
+
+def _size(text: str) -> int:
+    return max(1, len(text) // 4)
+
+
+def _joined(a: dict, b: dict) -> dict:
+    starts = [x for x in (a["page_start"], b["page_start"]) if pd.notna(x)]
+    ends = [x for x in (a["page_end"], b["page_end"]) if pd.notna(x)]
+    return a | {"text": f"{a['text']}\n\n{b['text']}", "page_start": min(starts, default=None), "page_end": max(ends, default=None), "merged": a["merged"] + b["merged"]}
+
+
+def _same_section(rows: Iterator[dict]) -> Iterator[dict]:
+    """Rows that are short take in the next ones of their section until they are not."""
+    held = None
+    for r in rows:
+        if held is not None and held["section"] == r["section"] and _size(held["text"]) < r["least"]:
+            held = _joined(held, r)
+            continue
+        if held is not None:
+            yield held
+        held = r
+    if held is not None:
+        yield held
+
+
+def _with_next(rows: Iterator[dict]) -> Iterator[dict]:
+    """A row that is short takes in the next one, whatever its section."""
+    for r in rows:
+        after = next(rows, None) if _size(r["text"]) < r["least"] else None
+        yield r if after is None else _joined(r, after)
+
+
+def merge_short(nodes: DataFrame, least: int = 150, minimum: DataFrame | None = None) -> DataFrame:
     """(doc, idx, id, section, text, page_start, page_end, merged): nodes (doc, idx, section, text, page_start, page_end).
 
-    Nodes below the adaptive minimum take in the next of their section until they reach it; empty ones go; then a node
-    that is still short takes in the next, whatever its section. Pages are the first and the last, merged lists the old
-    idx, and idx and id are given anew.
+    Nodes below the minimum of their document (document_minimum() of the nodes unless given) take in the next of their
+    section until they reach it; empty ones go; then a node that is still short takes in the next, whatever its section.
+    Pages are the first and the last, merged lists the old idx, and idx and id are given anew. A document's nodes stream
+    through one task in order, which holds no more of them than a batch.
     """
-    prepared = nodes.select("doc", "idx", "section", "text", "page_start", "page_end", adaptive_minimum(least).alias("least"))
+    minimum = document_minimum(nodes, least) if minimum is None else minimum
+    minimum = minimum.select(F.col("doc").alias("_doc"), "least")
+    rows = nodes.select("doc", "idx", "section", F.coalesce("text", F.lit("")).alias("text"), "page_start", "page_end").join(minimum, F.col("doc").eqNullSafe(F.col("_doc"))).drop("_doc")
+    rows = rows.repartition("doc").sortWithinPartitions("doc", "idx")
     kind = nodes.schema["doc"].dataType.simpleString()
-    size = lambda t: max(1, len(t) // 4)
-
-    def join(a: dict, b: dict) -> dict:
-        starts = [x for x in (a["page_start"], b["page_start"]) if pd.notna(x)]
-        ends = [x for x in (a["page_end"], b["page_end"]) if pd.notna(x)]
-        return a | {"text": f"{a['text']}\n\n{b['text']}", "page_start": min(starts, default=None), "page_end": max(ends, default=None), "merged": a["merged"] + b["merged"]}
-
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        rows = [r | {"text": r["text"] or "", "merged": [int(r["idx"])]} for r in f.sort_values("idx", kind="stable").to_dict("records")]
-        first: list[dict] = []
-        for r in rows:
-            if first and first[-1]["section"] == r["section"] and size(first[-1]["text"]) < r["least"]:
-                first[-1] = join(first[-1], r)
-            else:
-                first.append(r)
-        first = [r for r in first if r["text"].strip()]
-        out, i = [], 0
-        while i < len(first):
-            if size(first[i]["text"]) < first[i]["least"] and i + 1 < len(first):
-                out.append(join(first[i], first[i + 1]))
-                i += 2
-            else:
-                out.append(first[i])
-                i += 1
-        done = [{k: r[k] for k in ("doc", "section", "text", "page_start", "page_end", "merged")} | {"idx": n, "id": f"{r['doc']}_node_{n:04d}"} for n, r in enumerate(out)]
-        return pd.DataFrame(done, columns=["doc", "idx", "id", "section", "text", "page_start", "page_end", "merged"])
-
-    return prepared.groupBy("doc").applyInPandas(run, f"doc {kind}, idx bigint, id string, section string, text string, page_start int, page_end int, merged array<bigint>")
+    fields = ["doc", "idx", "id", "section", "text", "page_start", "page_end", "merged"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        every = (r | {"merged": [int(r["idx"])]} for f in frames for r in f.to_dict("records"))
+        done = (
+            r | {"idx": n, "id": f"{r['doc']}_node_{n:04d}"}
+            for _, own in groupby(every, key=lambda r: r["doc"])
+            for n, r in enumerate(_with_next(r for r in _same_section(own) if r["text"].strip()))
+        )
+        while some := list(islice(done, 1000)):
+            yield pd.DataFrame(some, columns=fields).astype({c: "Int32" for c in ("page_start", "page_end")})
+
+    return rows.mapInPandas(run, f"doc {kind}, idx bigint, id string, section string, text string, page_start int, page_end int, merged array<bigint>")
 
 
 def flags(nodes: DataFrame) -> DataFrame:
@@ -153,5 +198,39 @@ def flagged(nodes: DataFrame, most: int = 20) -> DataFrame:
 
 
 def audit(nodes: DataFrame, threshold: float = 0.85, least: int = 150) -> DataFrame:
-    """Duplicates dropped, then short nodes merged and renumbered; nodes as for merge_short()."""
-    return merge_short(drop_duplicates(nodes.select("doc", "idx", "section", "text", "page_start", "page_end"), threshold), least)
+    """Duplicates dropped, then short nodes merged and renumbered; nodes as for merge_short(). What counts as short is
+    taken from all nodes, duplicates included."""
+    nodes = nodes.select("doc", "idx", "section", "text", "page_start", "page_end").persist()  # read several times; what made it is costly
+    return merge_short(drop_duplicates(nodes, threshold), least, document_minimum(nodes, least))
+
+
+def audit_stats(nodes: DataFrame, threshold: float = 0.85, least: int = 150) -> DataFrame:
+    """One row for each document of nodes as for audit(): original_count, duplicate_pairs, after_dedup, final_count, avg_tokens
+    and effective_min_tokens of the nodes as they came, and their noise and table issues.
+
+    duplicate_pairs counts pairs of nodes, those of equal word sets included: a class of n nodes has n (n - 1) / 2 of them,
+    and two similar classes of n and m have n m; they are counted by these sizes and never listed.
+    """
+    own = nodes.select("doc", "idx", "section", "text", "page_start", "page_end").persist()
+    size = duplicate_classes(own).groupBy("doc", "class").agg(F.count("*").alias("n"))
+    inside = size.select("doc", (F.col("n") * (F.col("n") - 1) / 2).alias("n"))
+    side = lambda k: size.select("doc", F.col("class").alias(k), F.col("n").alias(f"n_{k}"))
+    across = duplicate_pairs(own, threshold).join(side("a"), ["doc", "a"]).join(side("b"), ["doc", "b"]).select("doc", (F.col("n_a") * F.col("n_b")).cast("double").alias("n"))
+    pairs = inside.unionByName(across).groupBy("doc").agg(F.sum("n").cast("bigint").alias("duplicate_pairs"))
+    dedup = drop_duplicates(own, threshold)
+    kept = dedup.groupBy("doc").agg(F.count("*").alias("after_dedup"))
+    final = merge_short(dedup, least, document_minimum(own, least)).groupBy("doc").agg(F.count("*").alias("final_count"))
+    first = summary(own).drop("tokens").withColumnRenamed("final_count", "original_count")
+    found = first.join(document_minimum(own, least).withColumnRenamed("least", "effective_min_tokens"), "doc").join(pairs, "doc", "left").join(kept, "doc", "left").join(final, "doc", "left")
+    return found.na.fill(0, ["duplicate_pairs", "after_dedup", "final_count"])
+
+
+def report(nodes: DataFrame, threshold: float = 0.85, least: int = 150) -> DataFrame:
+    """(doc, text): the audit of every document in Markdown, its figures and its first flagged nodes."""
+    line = lambda name, c: F.concat(F.lit(f"| {name} | "), F.col(c).cast("string"), F.lit(" |"))
+    names = {"Nodes before": "original_count", "Duplicate pairs": "duplicate_pairs", "After deduplication": "after_dedup", "Nodes after": "final_count", "Mean tokens": "avg_tokens", "Least tokens": "effective_min_tokens", "With noise": "noise_detected_count", "Tables left": "table_not_removed_count", "High-risk tables removed": "high_risk_table_removed_count"}
+    issue = F.concat_ws(", ", F.when(F.col("image_links") > 0, "images"), F.when(F.col("footer_patterns") > 0, "footers"), F.when(F.col("gibberish_lines") > 0, "gibberish"), F.when(F.col("table_not_removed"), "table left"), F.when(F.col("risky_tables") > 0, "high-risk table"))
+    rows = flagged(nodes).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("rank", F.concat(F.lit("- node "), F.col("idx").cast("string"), F.lit(": "), issue).alias("line")))).alias("rows"))
+    stats = audit_stats(nodes, threshold, least).join(rows, "doc", "left")
+    body = F.concat_ws("\n", F.concat(F.lit("# Audit of "), F.col("doc").cast("string")), F.lit("\n| figure | value |\n|-|-|"), *(line(k, v) for k, v in names.items()), F.lit("\n## Flagged nodes\n"), F.coalesce(F.array_join(F.transform("rows", lambda r: r.line), "\n"), F.lit("none")))
+    return stats.select("doc", body.alias("text"))

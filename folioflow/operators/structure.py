@@ -42,7 +42,7 @@ def headings(docs: DataFrame) -> DataFrame:
 
 def numbered(docs: DataFrame) -> DataFrame:
     """(doc, pos, number, title) of lines numbered by digits (2.4.), Roman numerals or capitals."""
-    pattern = rf"{U}^\s*((?:\d+\.)*\d+|[IVX]+|[A-Z])[.)]\s+(.+?)\s*\z"
+    pattern = rf"{U}^((?:\d+\.)*\d+|[IVX]+|[A-Z])[.)]\s+(.+?)\s*\z"
     rows = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("pos", "line")).where(F.col("line").rlike(pattern))
     return rows.select("doc", "pos", F.regexp_extract("line", pattern, 1).alias("number"), F.regexp_extract("line", pattern, 2).alias("title"))
 
@@ -74,23 +74,33 @@ def sections(docs: DataFrame) -> DataFrame:
 
 
 def section_paths(docs: DataFrame, width: int = 40) -> DataFrame:
-    """(doc, pos, path): above every line the titles of the enclosing headings and of numbered lines since the last one.
+    """(doc, pos, path): above every line the titles of headings and the numbers of numbered lines before it.
 
-    A heading of level n cuts the path to n - 1 titles; numbered lines are appended and go with the next heading. Titles
-    are cut to `width` characters and joined by ` > `; without any the path is Document.
+    A heading whose level is at most that of the heading before cuts the path to the titles above its level; deeper ones
+    are appended, whatever levels are left out. Numbered lines add their number, which only a heading cuts. Titles are cut
+    to `width` characters and joined by ` > `; without any the path is Document. The path after every heading is folded
+    once for a document, and lines take the last one before them by one sort.
     """
-    heads = headings(docs).select("doc", "pos", "level", "title")
-    marks = heads.unionByName(numbered(docs).select("doc", "pos", F.lit(0).alias("level"), F.concat_ws(". ", "number", "title").alias("title")))
-    steps = marks.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", "level", "title"))).alias("steps"))
-    empty = F.array().cast("array<string>")
-
-    def step(path: Column, s: Column) -> Column:
-        kept = F.when(s.level == 0, path).otherwise(F.slice(path, F.lit(1), F.least(s.level - 1, F.size(path))))
-        return F.concat(kept, F.array(F.substring(s.title, 1, width)))
-
-    rows = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("pos", "line")).join(steps, "doc", "left")
-    path = F.aggregate(F.filter(F.coalesce("steps", F.array().cast("array<struct<pos:int,level:int,title:string>>")), lambda s: s.pos < F.col("pos")), empty, step)
-    return rows.select("doc", "pos", F.when(F.size(path) == 0, F.lit("Document")).otherwise(F.array_join(path, " > ")).alias("path"))
+    number = rf"{U}^((?:\d+\.)*\d+|[IVX]+|[A-Z])[.)]\s+.+\z"
+
+    def mark(x: Column, i: Column) -> Column:
+        head = F.struct(i.alias("pos"), F.length(F.regexp_extract(x, HEADING, 1)).alias("level"), F.substring(F.regexp_extract(x, HEADING, 2), 1, width).alias("name"))
+        item = F.struct(i.alias("pos"), F.lit(0).alias("level"), F.regexp_extract(x, number, 1).alias("name"))
+        return F.when(x.rlike(HEADING), head).when(x.rlike(number), item)
+
+    start = F.struct(F.array().cast("array<string>").alias("path"), F.lit(0).alias("level"), F.array().cast("array<struct<pos:int,path:string>>").alias("out"))
+
+    def step(s: Column, m: Column) -> Column:
+        kept = F.when((m.level > 0) & (m.level <= s.level), F.slice(s.path, F.lit(1), F.least(m.level - 1, F.size(s.path)))).otherwise(s.path)
+        path = F.concat(kept, F.array(m["name"]))
+        return F.struct(path.alias("path"), F.when(m.level > 0, m.level).otherwise(s.level).alias("level"), F.concat(s.out, F.array(F.struct(m.pos.alias("pos"), F.array_join(path, " > ").alias("path")))).alias("out"))
+
+    lines = F.split("text", "\n")
+    marks = docs.select("doc", F.explode(F.aggregate(F.array_compact(F.transform(lines, mark)), start, step, lambda s: s.out)).alias("m")).select("doc", "m.pos", "m.path", F.lit(1).alias("kind"))
+    rows = docs.select("doc", F.posexplode(lines).alias("pos", "line")).select("doc", "pos", F.lit(None).cast("string").alias("path"), F.lit(0).alias("kind"))
+    before = Window.partitionBy("doc").orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    found = rows.unionByName(marks).withColumn("path", F.coalesce(F.last("path", ignorenulls=True).over(before), F.lit("Document")))
+    return found.where("kind = 0").select("doc", "pos", "path")
 
 
 def paragraph_rows(docs: DataFrame, *keys: str) -> DataFrame:

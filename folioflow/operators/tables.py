@@ -5,10 +5,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate, groupby
+from operator import itemgetter
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.text import U, let, map_lines, sub
 
@@ -95,64 +99,81 @@ def cells(row: str) -> list[str]:
     return [c.strip() for c in row.split("|")[1:-1]]
 
 
+def _written(own: list[str]) -> str:
+    return f"|{'|'.join(own)}|"
+
+
+def _one_row(lines: list[str], width: int) -> str:
+    """A row and the lines that continue it: their cells go to its last one, and it gets `width` cells."""
+    if len(lines) == 1:
+        return lines[0]
+    own = cells(lines[0])
+    for more in map(cells, lines[1:]):
+        if own and more:
+            own[-1] = " ".join([own[-1], *more])
+        own = (own + [""] * width)[:width]
+    return _written(own)
+
+
 def repair_block(block: list[str], latex: str = "drop") -> tuple[list[str], list[str], list[str]]:
     """A repaired table of three lines or more, what was done, and warnings.
 
-    The second line becomes a separator of the header's width; rows with fewer cells continue the last cell of the row
-    above; formulas are dropped (latex="drop") or lose their marks.
+    The second line becomes a separator of the header's width. Rows are numbered by a running count of lines with at
+    least as many cells as the header, and lines of one number are one row. Formulas are dropped (latex="drop") or lose
+    their marks.
     """
     width = len(cells(block[0]))
-    actions, warnings = [f"repaired_table_separator (cols={width})"], []
-    rows: list[list[str] | str] = []
-    for line in block[2:]:
-        own = cells(line)
-        if rows and len(own) < width:
-            if isinstance(rows[-1], str):
-                rows[-1] = cells(rows[-1])
-            if rows[-1] and own:
-                rows[-1][-1] += " " + " ".join(own)
-            rows[-1] = (rows[-1] + [""] * width)[:width]
-        else:
-            rows.append(line)
-    if len(rows) + 2 < len(block):
-        actions.append(f"merged_table_rows ({len(block)} -> {len(rows) + 2} lines)")
-    out = [block[0], "|" + "|".join(["---"] * width) + "|", *(r if isinstance(r, str) else "|" + "|".join(r) + "|" for r in rows)]
-    clean = [re.sub(r"\\math(?:rm|bf)\{([^}]*)\}", r"\1", re.sub(r"\$([^$]*)\$", "" if latex == "drop" else r"\1", x)) for x in out]
-    if clean != out:
-        actions.append("cleaned_latex_in_table")
-    warnings += [f"TABLE WARNING (HIGH): Line has {x.count('|')} pipes, expected {width + 1}: {x[:60]}" for x in clean if x.count("|") != width + 1]
-    return clean, actions, warnings
+    number = accumulate(len(cells(line)) >= width for line in block[2:])
+    rows = [_one_row([line for _, line in own], width) for _, own in groupby(zip(number, block[2:], strict=True), key=itemgetter(0))]
+    whole = [block[0], _written(["---"] * width), *rows]
+    formula = "" if latex == "drop" else r"\1"
+    plain = [re.sub(r"\\math(?:rm|bf)\{([^}]*)\}", r"\1", re.sub(r"\$([^$]*)\$", formula, line)) for line in whole]
+    done = {
+        f"repaired_table_separator (cols={width})": True,
+        f"merged_table_rows ({len(block)} -> {len(whole)} lines)": len(whole) < len(block),
+        "cleaned_latex_in_table": plain != whole,
+    }
+    pipes = [(line, line.count("|")) for line in plain]
+    warnings = [f"TABLE WARNING (HIGH): Line has {n} pipes, expected {width + 1}: {line[:60]}" for line, n in pipes if n != width + 1]
+    return plain, [what for what, so in done.items() if so], warnings
 
 
 def repair(text: str) -> tuple[str, list[str], list[str]]:
-    """A text whose blocks of at least three lines that begin with a pipe are repaired."""
-    lines, out, actions, warnings = text.split("\n"), [], [], []
-    i = 0
-    while i < len(lines):
-        j = i
-        while j < len(lines) and lines[j].strip().startswith("|"):
-            j += 1
-        if j - i >= 3 and lines[i].startswith("|"):
-            block, done, said = repair_block(lines[i:j])
-            out += block
+    """A text whose blocks of at least three lines that begin with a pipe are repaired; a block whose first line is
+    indented has no header to go by, and only gets a warning."""
+    out, actions, warnings = [], [], []
+    for table, own in groupby(text.split("\n"), key=lambda line: line.strip().startswith("|")):
+        block = list(own)
+        if table and len(block) >= 3 and block[0].startswith("|"):
+            block, done, said = repair_block(block)
             actions += done
             warnings += said
-        else:
-            j = max(j, i + 1)
-            out += lines[i:j]
-        i = j
+        elif table and len(block) >= 3:
+            warnings.append(f"TABLE WARNING: Cannot determine column count in header: {block[0][:50]}")
+        out += block
     return "\n".join(out), actions, warnings
 
 
-def repair_tables(docs: DataFrame) -> DataFrame:
-    """(doc, text, actions, warnings) of docs (doc, text)."""
-    kind = docs.schema["doc"].dataType.simpleString()
+REPAIRED = StructType().add("text", StringType()).add("actions", ArrayType(StringType())).add("warnings", ArrayType(StringType()))
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            yield pd.DataFrame([(d, *(repair(t) if t is not None else (None, [], []))) for d, t in zip(p.doc, p.text, strict=True)], columns=["doc", "text", "actions", "warnings"])
 
-    return docs.select("doc", "text").mapInPandas(run, f"doc {kind}, text string, actions array<string>, warnings array<string>")
+def repaired(nodes: DataFrame, text: str = "text", to: str = "repaired") -> DataFrame:
+    """nodes with a struct (text, actions, warnings) of repair() of a column more; a null text has neither."""
+    parts = pa.list_(pa.string())
+    arrow = pa.struct([("text", pa.string()), ("actions", parts), ("warnings", parts)])
+    at, names = nodes.columns.index(text), [*nodes.columns, to]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            done = [dict(zip(("text", "actions", "warnings"), repair(t), strict=True)) if t is not None else {"text": None, "actions": [], "warnings": []} for t in b.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(done, arrow)], names)
+
+    return nodes.mapInArrow(run, StructType([*nodes.schema.fields, StructField(to, REPAIRED)]))
+
+
+def repair_tables(docs: DataFrame) -> DataFrame:
+    """(doc, text, actions, warnings) of docs (doc, text)."""
+    return repaired(docs.select("doc", "text")).select("doc", "repaired.*")
 
 
 def is_separator(row: Column) -> Column:

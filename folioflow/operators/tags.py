@@ -1,4 +1,4 @@
-"""Topic tags and domains from keyword dictionaries: one expression per keyword, so nodes are tagged in place, without a join."""
+"""Topic tags and domains from keyword dictionaries. Nodes are tagged in place, without a join, by one pass over the text."""
 
 from __future__ import annotations
 
@@ -38,21 +38,75 @@ def normalised(text: Column) -> Column:
 
 def keyword_count(text: Column, keyword: str) -> Column:
     """How often a keyword stands in normalised text, not inside a longer word."""
-    own = re.sub(r"\s+", " ", keyword.lower().strip())
-    return F.regexp_count(text, F.lit(rf"{U}(?<!\w)\Q{own}\E(?!\w)"))
+    return F.regexp_count(text, F.lit(rf"{U}(?<!\w)\Q{_own(keyword)}\E(?!\w)"))
 
 
-def scores(text: Column, dictionary: dict[str, list[str]], least: int = 1) -> Column:
-    """array<struct<score, rank, label>> of labels with `least` hits, best first; of equal ones the earlier label.
+def _own(keyword: str) -> str:
+    return re.sub(r"\s+", " ", keyword.lower().strip())
+
+
+def _prefix_tree(keywords: list[str]) -> str:
+    """A pattern for the longest of the keywords, by their common beginnings: a regular expression engine then tries a
+    handful of branches at a place instead of every keyword."""
+    if not keywords:
+        return ""
+    ends = "" in keywords
+    branches: dict[str, list[str]] = {}
+    for k in keywords:
+        if k:
+            branches.setdefault(k[0], []).append(k[1:])
+    parts = [f"\\Q{c}\\E" + _prefix_tree(rest) if c != "\\" else r"\\" + _prefix_tree(rest) for c, rest in sorted(branches.items())]
+    if not parts:
+        return ""
+    return f"(?:{'|'.join(parts)})" + ("?" if ends else "")
+
+
+def _meets_itself(keyword: str) -> bool:
+    """Whether two occurrences of a keyword can overlap: a beginning of it, up to a word's end, is also an end of it."""
+    return any(keyword.endswith(keyword[:n]) and (not keyword[n].isalnum() or not keyword[n - 1].isalnum()) for n in range(1, len(keyword)))
+
+
+def found_keywords(text: Column, keywords: list[str]) -> Column:
+    """array<string>: at every place of normalised text where a keyword stands the longest one, in one pass.
 
-    Every keyword counts by itself, so overlapping keywords count several times. rank is the place in the array.
+    The pattern matches no characters, so keywords may overlap. Of keywords that begin a longer one, longer ones stand for
+    both; standing() tells which.
     """
+    return F.regexp_extract_all(text, F.lit(rf"{U}(?<!\w)(?=({_prefix_tree(sorted({_own(k) for k in keywords} - {''}))})(?!\w))"), F.lit(1))
 
 
-    def counted(own: Column) -> Column:
-        return F.array(*(F.struct((-sum((keyword_count(own, k) for k in keys), F.lit(0))).alias("negative"), F.lit(i).alias("ord"), F.lit(label).alias("label")) for i, (label, keys) in enumerate(dictionary.items())))
+def standing(keyword: str, keywords: set[str]) -> list[str]:
+    """The keywords whose occurrence is one of this keyword too."""
+    return sorted(k for k in keywords if k == keyword or k.startswith(keyword) and not (k[len(keyword)].isalnum() or k[len(keyword)] == "_"))
 
-    hit = F.sort_array(F.filter(let(normalised(text), counted), lambda s: -s.negative >= least))
+
+def scores(text: Column, dictionary: dict[str, list[str]], least: int = 1) -> Column:
+    """array<struct<score, rank, label>> of labels with `least` hits, best first; of equal ones the earlier label.
+
+    Every keyword counts by itself, so overlapping keywords count several times; occurrences of one keyword do not
+    overlap. rank is the place in the array. The text is searched once for all keywords.
+    """
+    every = {_own(k) for keys in dictionary.values() for k in keys} - {""}
+    kind = "array<struct<score:bigint,rank:int,label:string>>"
+    if not every:
+        return F.array().cast(kind)
+    odd = {k for k in every if _meets_itself(k)}
+
+    def of_label(own: Column, hits: Column, keys: list[str]) -> Column:
+        wanted = [_own(k) for k in keys]
+        plain = [x for k in wanted if k not in odd and k for x in standing(k, every)]
+        once, more = sorted(set(plain)), sorted({x for x in plain if plain.count(x) > 1})
+        n = F.size(F.filter(hits, lambda x: x.isin(once))) if once else F.lit(0)
+        for x in more:  # a hit that stands for several keywords of a label
+            n = n + (plain.count(x) - 1) * F.size(F.filter(hits, F.lit(x).__eq__))
+        return sum((keyword_count(own, k) for k in wanted if k in odd), n)
+
+    def counted(pair: Column) -> Column:
+        rows = (F.struct((-of_label(pair.own, pair.hits, keys)).alias("negative"), F.lit(i).alias("ord"), F.lit(label).alias("label")) for i, (label, keys) in enumerate(dictionary.items()))
+        return F.array(*rows)
+
+    pair = lambda own: F.struct(own.alias("own"), found_keywords(own, sorted(every)).alias("hits"))
+    hit = F.sort_array(F.filter(let(let(normalised(text), pair), counted), lambda s: -s.negative >= least))
     return F.transform(hit, lambda s, i: F.struct((-s.negative).cast("bigint").alias("score"), i.alias("rank"), s.label.alias("label")))
 
 
@@ -85,6 +139,11 @@ def tag_nodes(nodes: DataFrame, dictionary: dict[str, list[str]], domains: dict[
     return nodes.withColumn("tags", top_tags(F.col("text"), F.col("section"), F.col("source"), dictionary, most)).withColumn("domain", primary_domain(F.concat_ws(" ", "text", "source"), domains))
 
 
+def available_tags(dictionary: dict[str, list[str]]) -> list[str]:
+    """The labels of a dictionary in alphabetical order; dictionary.get(label, []) has a label's keywords."""
+    return sorted(dictionary)
+
+
 def tag_stats(nodes: DataFrame) -> DataFrame:
     """One row for each document of nodes (doc, tags, domain): sorted tags and domains and their numbers."""
     found = nodes.groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("tags")))).alias("unique_tags"), F.array_sort(F.collect_set("domain")).alias("domains"))

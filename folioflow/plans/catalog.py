@@ -13,7 +13,7 @@ from ..functions import context as X
 from ..functions import nodes as N
 from ..functions import text as T
 from ..functions import vietnamese as V
-from ..operators import audit, chunks, exports, pages, structure, tables, tags
+from ..operators import audit, chunks, cleaning, exports, pages, structure, tables, tags
 from . import pipelines
 
 QUERIES: dict = {}
@@ -227,9 +227,30 @@ def boundaries(spark, sf_dir):
     return structure.boundaries(headed(spark, sf_dir))
 
 
-@query()
+def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (doc, text): the turns of a conversation under headings of three levels and numbered lines."""
+    k = F.col("idx")
+    head = F.concat(F.repeat(F.lit("#"), (k % 3 + F.when(k % 5 == 4, 2).otherwise(1)).cast("int")), F.lit(" "), "section", F.lit(" of a rather long title, number "), k.cast("string"))
+    part = F.concat(head, F.lit("\n"), (k + 1).cast("string"), F.lit(".2) item\nIV. item\nB item\n"), "text")
+    return conversations(spark, sf_dir).groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", part.alias("p")))), lambda x: x.p), "\n").alias("text"))
+
+
+@query(r"""
+WITH RECURSIVE d AS (SELECT conv_id AS doc, string_agg(repeat('#', CAST(turn % 3 + CASE WHEN turn % 5 = 4 THEN 2 ELSE 1 END AS INTEGER)) || ' ' || role || ' of a rather long title, number ' || turn || chr(10) || (turn + 1) || '.2) item' || chr(10) || 'IV. item' || chr(10) || 'B item' || chr(10) || coalesce(text, ''), chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id),
+l AS (SELECT doc, unnest(string_split(text, chr(10))) AS l, unnest(range(len(string_split(text, chr(10))))) AS pos FROM d),
+m AS (SELECT doc, pos, row_number() OVER (PARTITION BY doc ORDER BY pos) AS k, length(regexp_extract(l, '^(#{1,6})\s+.+', 1)) AS level,
+        CASE WHEN regexp_matches(l, '^#{1,6}\s+.+') THEN left(regexp_extract(l, '^#{1,6}\s+(.+?)\s*$', 1), 40) ELSE regexp_extract(l, '^((?:\d+\.)*\d+|[IVX]+|[A-Z])[.)]\s+.+', 1) END AS name
+    FROM l WHERE regexp_matches(l, '^#{1,6}\s+.+') OR regexp_matches(l, '^((?:\d+\.)*\d+|[IVX]+|[A-Z])[.)]\s+.+')),
+p AS (
+    SELECT doc, k, pos, [name] AS path, level AS last FROM m WHERE k = 1
+    UNION ALL
+    SELECT m.doc, m.k, m.pos, list_append(CASE WHEN m.level > 0 AND m.level <= p.last THEN p.path[1:m.level - 1] ELSE p.path END, m.name), CASE WHEN m.level > 0 THEN m.level ELSE p.last END
+    FROM p JOIN m ON m.doc = p.doc AND m.k = p.k + 1
+)
+SELECT l.doc, CAST(l.pos AS INTEGER) AS pos, coalesce(array_to_string(p.path, ' > '), 'Document') AS path FROM l ASOF LEFT JOIN p ON l.doc = p.doc AND l.pos > p.pos
+""")
 def section_paths(spark, sf_dir):
-    return structure.section_paths(headed(spark, sf_dir))
+    return structure.section_paths(nested(spark, sf_dir))
 
 
 def _spaced(spark, sf_dir) -> DataFrame:
@@ -246,18 +267,26 @@ def chunk_stats(spark, sf_dir):
     return chunks.chunk_stats(chunks.chunk(_spaced(spark, sf_dir)))
 
 
+def _grouped(spark, sf_dir) -> DataFrame:
+    """Tool nodes (source, page, id, text): the turns of a tenth of the conversations make a source."""
+    c = conversations(spark, sf_dir)
+    return c.select(F.concat(F.lit("group-"), (F.col("doc") % 10).cast("string")).alias("source"), "page", F.concat_ws("-", F.col("doc").cast("string"), F.col("idx").cast("string")).alias("id"), "text")
+
+
 @query()
 def rechunk_structure(spark, sf_dir):
-    c = conversations(spark, sf_dir).withColumn("source", F.concat(F.lit("group-"), (F.col("doc") % 10).cast("string")))
-    found = chunks.rechunk(c.select("source", "page", F.concat_ws("-", F.col("doc").cast("string"), F.col("idx").cast("string")).alias("id"), "text"), 2000, 500)
-    return found.select("source", "n", "page_start", "page_end", "chars", F.md5("text").alias("digest"))
+    return chunks.rechunk(_grouped(spark, sf_dir), 2000, 500).select("source", "n", "id", "page_start", "page_end", "chars", F.md5("text").alias("digest"))
 
 
 @query()
 def rechunk_lines(spark, sf_dir):
-    c = conversations(spark, sf_dir).withColumn("source", F.concat(F.lit("group-"), (F.col("doc") % 10).cast("string")))
-    found = chunks.rechunk(c.select("source", "page", F.concat_ws("-", F.col("doc").cast("string"), F.col("idx").cast("string")).alias("id"), "text"), 2000, by_lines=True)
-    return found.select("source", "n", "page_start", "page_end", "chars", F.md5("text").alias("digest"))
+    found = chunks.rechunk_lines(_grouped(spark, sf_dir), 2000)
+    return found.withColumn("digest", F.md5("text")).drop("text")
+
+
+@query()
+def rechunk_summary(spark, sf_dir):
+    return chunks.rechunk_summary(chunks.rechunk_lines(_grouped(spark, sf_dir), 2000))
 
 
 @query(r"""
@@ -267,9 +296,7 @@ WITH p AS (SELECT conv_id AS doc, turn, length('<!--PAGE:' || (turn + 1) || '-->
 SELECT doc, CAST(turn AS BIGINT) AS idx, CAST(before + head AS BIGINT) AS start, CAST(before + head + n + CASE WHEN last THEN 0 ELSE 1 END AS BIGINT) AS stop, CAST(turn + 1 AS INTEGER) AS page FROM p
 """)
 def page_ranges(spark, sf_dir):
-    part = F.concat(F.lit("<!--PAGE:"), F.col("page").cast("string"), F.lit("-->\n"), "text")
-    docs = conversations(spark, sf_dir).groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", part.alias("p")))), lambda x: x.p), "\n").alias("text"))
-    return docs.select("doc", F.posexplode(pages.page_ranges(F.col("text"))).alias("idx", "r")).select("doc", F.col("idx").cast("bigint").alias("idx"), F.col("r.start").cast("bigint").alias("start"), F.col("r.end").cast("bigint").alias("stop"), "r.page")
+    return _paged(spark, sf_dir).select("doc", F.posexplode(pages.page_ranges(F.col("text"))).alias("idx", "r")).select("doc", F.col("idx").cast("bigint").alias("idx"), F.col("r.start").cast("bigint").alias("start"), F.col("r.end").cast("bigint").alias("stop"), "r.page")
 
 
 @query(r"""
@@ -283,12 +310,27 @@ def page_lookup(spark, sf_dir):
     return pages.page_by_line(markers, c.select("doc", F.col("idx").alias("id"), (F.col("idx") * 100 + 50).alias("pos")))
 
 
-@query()
+_FLAT_TURN = FLAT.format("coalesce(text, '')")
+
+
+@query(rf"""
+WITH t AS (SELECT conv_id AS doc, turn, {_FLAT_TURN} AS own FROM conversations),
+s AS (SELECT *, coalesce(sum(length(own) + 1) OVER (PARTITION BY doc ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM t),
+f AS (SELECT doc, string_agg(own, ' ' ORDER BY turn) AS flat FROM t GROUP BY doc),
+a AS (SELECT t.doc, turn, own, CASE WHEN own = '' THEN -1 ELSE coalesce({", ".join(f"nullif(instr(flat, left(own, {n})), 0)" for n in pages.PREFIXES)}, 0) - 1 END AS found FROM t JOIN f USING (doc)),
+b AS (SELECT a.*, s.turn + 1 AS page_start FROM a ASOF LEFT JOIN s ON s.doc = a.doc AND s.start <= a.found),
+e AS (SELECT b.*, greatest(found, found + length(own) - 1) AS stop FROM b)
+SELECT e.doc, CAST(e.turn AS BIGINT) AS id, CAST(found AS INTEGER) AS source_char_pos, CAST(CASE WHEN found >= 0 THEN page_start END AS INTEGER) AS page_start, CAST(CASE WHEN found >= 0 THEN s.turn + 1 END AS INTEGER) AS page_end
+FROM e ASOF LEFT JOIN s ON s.doc = e.doc AND s.start <= e.stop
+""")
 def assign_pages(spark, sf_dir):
-    c = conversations(spark, sf_dir)
+    return pages.assign_pages(conversations(spark, sf_dir).select("doc", F.col("idx").alias("id"), "text"), _paged(spark, sf_dir)).drop("text")
+
+
+def _paged(spark, sf_dir) -> DataFrame:
+    """(doc, text): the turns of a conversation, each on a page of its own."""
     part = F.concat(F.lit("<!--PAGE:"), F.col("page").cast("string"), F.lit("-->\n"), "text")
-    paged = c.groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", part.alias("p")))), lambda x: x.p), "\n").alias("text"))
-    return pages.assign_pages(c.select("doc", F.col("idx").alias("id"), "text"), paged).drop("text")
+    return conversations(spark, sf_dir).groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", part.alias("p")))), lambda x: x.p), "\n").alias("text"))
 
 
 @query(r"""
@@ -333,20 +375,76 @@ def dup_classes(spark, sf_dir):
     return audit.duplicate_classes(documents(spark, sf_dir).select(F.col("lang").alias("doc"), F.col("doc_id").alias("idx"), "text"))
 
 
-@query()
+_SETS = rf"""
+s AS (SELECT source AS doc, doc_id AS idx, length(text) AS size, {_SET} AS w FROM documents),
+cls AS (SELECT doc, w, min(idx) AS class, len(w) AS n FROM s GROUP BY doc, w),
+tok AS (SELECT doc, class, n, unnest(w) AS t FROM cls), df AS (SELECT t, count(*) AS c FROM tok GROUP BY t),
+pre AS (SELECT doc, class, n, t FROM (SELECT *, row_number() OVER (PARTITION BY doc, class ORDER BY c, t) AS k FROM tok JOIN df USING (t)) WHERE k <= n - ceil(0.85 * n - 1e-9) + 1),
+ab AS (SELECT DISTINCT a.doc, a.class AS a, b.class AS b FROM pre a JOIN pre b ON a.doc = b.doc AND a.t = b.t AND a.class < b.class AND a.n >= 0.85 * b.n - 1e-9 AND b.n >= 0.85 * a.n - 1e-9),
+cc AS (SELECT ab.* FROM ab JOIN cls x ON x.doc = ab.doc AND x.class = a JOIN cls y ON y.doc = ab.doc AND y.class = b WHERE len(list_intersect(x.w, y.w)) / len(list_distinct(list_concat(x.w, y.w))) >= 0.85),
+own AS (SELECT s.doc, s.idx, size, class FROM s JOIN cls ON cls.doc = s.doc AND cls.w = s.w),
+like_ AS (SELECT a AS one, b AS two, doc FROM cc UNION ALL SELECT b, a, doc FROM cc UNION ALL SELECT class, class, doc FROM cls)
+"""
+
+
+@query(rf"""
+WITH RECURSIVE {_SETS},
+near AS (SELECT x.doc, x.idx, list(y.idx) AS nb FROM own x JOIN like_ l ON l.doc = x.doc AND l.one = x.class JOIN own y ON y.doc = x.doc AND y.class = l.two AND y.idx < x.idx GROUP BY x.doc, x.idx),
+r AS (SELECT own.doc, own.idx, size, coalesce(nb, CAST([] AS BIGINT[])) AS nb, row_number() OVER (PARTITION BY own.doc ORDER BY own.idx) AS k FROM own LEFT JOIN near ON near.doc = own.doc AND near.idx = own.idx),
+g AS (
+    SELECT doc, k, [{{'idx': idx, 'size': size}}] AS kept FROM r WHERE k = 1
+    UNION ALL
+    SELECT r.doc, r.k, CASE WHEN h IS NULL THEN list_append(g.kept, {{'idx': r.idx, 'size': r.size}})
+        WHEN r.size <= list_filter(g.kept, lambda x: x.idx = h)[1].size THEN g.kept
+        ELSE list_append(list_filter(g.kept, lambda x: x.idx <> h), {{'idx': r.idx, 'size': r.size}}) END
+    FROM g JOIN (SELECT *, k - 1 AS before FROM r) r ON r.doc = g.doc AND r.before = g.k, LATERAL (SELECT list_min(list_filter(list_transform(g.kept, lambda x: x.idx), lambda x: list_contains(r.nb, x))) AS h) t
+),
+last AS (SELECT doc, arg_max(kept, k) AS kept FROM g GROUP BY doc)
+SELECT doc, unnest(list_transform(kept, lambda x: x.idx)) AS idx FROM last
+""")
 def dedup_greedy(spark, sf_dir):
     docs = documents(spark, sf_dir).select(F.col("source").alias("doc"), F.col("doc_id").alias("idx"), "text")
     return audit.drop_duplicates(docs).select("doc", "idx")
 
 
-@query()
+@query(rf"""
+WITH {_SETS.replace("RECURSIVE", "")},
+n AS (SELECT doc, class, count(*) AS n FROM own GROUP BY doc, class),
+p AS (SELECT doc, n * (n - 1) / 2 AS c FROM n UNION ALL SELECT cc.doc, x.n * y.n FROM cc JOIN n x ON x.doc = cc.doc AND x.class = a JOIN n y ON y.doc = cc.doc AND y.class = b)
+SELECT doc, CAST(sum(c) AS BIGINT) AS duplicate_pairs FROM p GROUP BY doc
+""")
+def audit_stats(spark, sf_dir):
+    docs = documents(spark, sf_dir).select(F.col("source").alias("doc"), F.col("doc_id").alias("idx"), F.lit("").alias("section"), "text", F.lit(None).cast("int").alias("page_start"), F.lit(None).cast("int").alias("page_end"))
+    return audit.audit_stats(docs).select("doc", "duplicate_pairs")
+
+
+@query(r"""
+WITH RECURSIVE c AS (SELECT conv_id AS doc, turn AS idx, role AS section, coalesce(text, '') AS text, turn + 1 AS page, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
+m AS (SELECT doc, greatest(10, least(150, floor(avg(greatest(1, length(text) // 4)) * 0.5))) AS least FROM c GROUP BY doc),
+a AS (
+    SELECT doc, k, 1 AS g, section, length(text) AS n FROM c WHERE k = 1
+    UNION ALL
+    SELECT c.doc, c.k, CASE WHEN same THEN a.g ELSE a.g + 1 END, c.section, CASE WHEN same THEN a.n + 2 + length(c.text) ELSE length(c.text) END
+    FROM a JOIN c ON c.doc = a.doc AND c.k = a.k + 1 JOIN m ON m.doc = c.doc, LATERAL (SELECT c.section = a.section AND greatest(1, a.n // 4) < least AS same) t
+),
+b AS (SELECT c.doc, g, min(c.section) AS section, string_agg(text, chr(10) || chr(10) ORDER BY c.k) AS text, list(idx ORDER BY c.k) AS merged, min(page) AS p, max(page) AS q FROM c JOIN a USING (doc, k) GROUP BY c.doc, g),
+v AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY g) AS k FROM b WHERE trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> ''),
+w AS (
+    SELECT v.doc, k, 1 AS h, greatest(1, length(text) // 4) < least AS open FROM v JOIN m USING (doc) WHERE k = 1
+    UNION ALL
+    SELECT v.doc, v.k, CASE WHEN w.open THEN w.h ELSE w.h + 1 END, NOT w.open AND greatest(1, length(v.text) // 4) < least FROM w JOIN v ON v.doc = w.doc AND v.k = w.k + 1 JOIN m ON m.doc = v.doc
+)
+SELECT v.doc, CAST(h - 1 AS BIGINT) AS idx, v.doc || '_node_' || printf('%04d', h - 1) AS id, arg_min(section, v.k) AS section, CAST(min(p) AS INTEGER) AS page_start, CAST(max(q) AS INTEGER) AS page_end,
+    array_to_string(flatten(list(merged ORDER BY v.k)), ',') AS merged, md5(string_agg(text, chr(10) || chr(10) ORDER BY v.k)) AS digest
+FROM v JOIN w USING (doc, k) GROUP BY v.doc, h
+""")
 def merge_short(spark, sf_dir):
     return audit.merge_short(conversations(spark, sf_dir)).select("doc", "idx", "id", "section", "page_start", "page_end", F.array_join("merged", ",").alias("merged"), F.md5("text").alias("digest"))
 
 
 @query(rf"""SELECT conv_id AS doc, CAST(greatest(10, least(150, floor(avg(greatest(1, length(coalesce(text, '')) // 4)) * 0.5))) AS BIGINT) AS least FROM conversations GROUP BY conv_id""")
 def adaptive_minimum(spark, sf_dir):
-    return conversations(spark, sf_dir).select("doc", audit.adaptive_minimum().alias("least")).distinct()
+    return audit.document_minimum(conversations(spark, sf_dir))
 
 
 NOISE = "![x](a.png) ![y](b)\nkcb_1 x 3 / 12 z\n" + "q " * 16 + "\n| a | b |\n| c | d |\n|e|\n[TABLE_REMOVED: Liều dùng]\n[TABLE_REMOVED: x]"
@@ -469,10 +567,54 @@ def table_extraction(spark, sf_dir):
     return t.select("doc", F.md5("text").alias("digest"), F.size("tables").alias("n_tables"), first.caption.alias("caption"), first.line_start.alias("line_start"), first.line_end.alias("line_end"))
 
 
-@query()
+#: Noise of nodes: two images, a footer of every kind, a long line, a repetitive one, headings, bullets, breaks and a table.
+NODE_NOISE = (
+    "![x](a.png) ![ ](b)", "# H", "##  - three", "- + four", "a<br/>b", "x [Page 12] y", "---Page Break---", "q " * 30, "-" * 60, "*.kcb_x_1/2/2020 10:11:12",
+    "| a | b |", "|-|", "| $x$ 1 | 2 |", "| more |", "|3|4|5|", "end",
+)
+_NODE_TEXT = "'" + "' || chr(10) || '".join(NODE_NOISE) + "'"
+_FOOT = "|".join(f"(?:{p})" for p in cleaning.NODE_FOOTERS)
+_SOME = rf"regexp_matches(l, '(?i){_FOOT}')"
+_LONG = r"regexp_matches(trim(l), '^[-—]{{50,}}$')".replace("{{", "{").replace("}}", "}")
+_REPEATS = f"(length(trim(l)) > 10 AND len({WORDS_OF.format('l')}) > 20 AND len(list_distinct({WORDS_OF.format('l')})) < 0.1 * len({WORDS_OF.format('l')}))"
+_IMAGES = r"regexp_replace(regexp_replace({0}, '!\[\s*\]\([^)]*\)', '', 'g'), '!\[([^\]]*)\]\([^)]*\)', '[IMG: \1]', 'g')"
+_BULLETS = r"regexp_replace(regexp_replace(l, '^(\s*)- \+', '\1- '), '^(#+)\s+-\s*(\S.*?)\s*$', '\1 ' || chr(10) || '- \2')"
+_APART = "array_to_string(list_transform(ls, lambda l, i: CASE WHEN regexp_matches(l, '^#{1,6}\\s') AND i > 1 AND trim(ls[i - 1]) <> '' THEN chr(10) || l ELSE l END), chr(10))".replace("\\\\", "\\")
+_CLEANED = rf"""
+WITH d AS (SELECT doc_id AS id, text, text || chr(10) || {_NODE_TEXT} AS t FROM documents),
+f AS (SELECT *, {" + ".join(f"CAST(contains(lower(t), '{x.lower()}') AS INTEGER)" for x in N.ADMINISTRATIVE)} >= 3 AS is_administrative,
+    len(list_filter(string_split(t, chr(10)), lambda l: {" OR ".join(f"contains(l, '{x}')" for x in N.TITLES)})) > 0.5 * len(list_filter(string_split(t, chr(10)), lambda l: trim(l) <> '')) AS is_name_list FROM d),
+a AS (SELECT *, string_split({_IMAGES.format('t')}, chr(10)) AS ls0 FROM f),
+b AS (SELECT *, list_filter(ls0, lambda l: NOT {_SOME}) AS ls1 FROM a),
+c AS (SELECT *, list_filter(ls1, lambda l: NOT {_LONG}) AS ls2 FROM b),
+e AS (SELECT *, list_filter(ls2, lambda l: NOT {_REPEATS}) AS ls FROM c),
+h AS (SELECT *, {_APART} AS t1, len(list_filter(list_transform(ls, lambda l, i: regexp_matches(l, '^#{{1,6}}\s') AND i > 1 AND trim(ls[i - 1]) <> ''), lambda x: x)) AS apart FROM e),
+g AS (SELECT *, {LINES.format("t1", _BULLETS)} AS t2, len(list_filter(string_split(t1, chr(10)), lambda l: regexp_matches(l, '^\s*- \+'))) AS plus, len(list_filter(string_split(t1, chr(10)), lambda l: regexp_matches(l, '^#+\s+-\s*\S'))) AS headed FROM h),
+z AS (SELECT *, replace(regexp_replace(t2, '(?i)<br\s*/?>', chr(10), 'g'), '|-|' || chr(10) || '| $x$ 1 | 2 |' || chr(10) || '| more |', '|---|---|' || chr(10) || '| 1|2 more|') AS cleaned,
+    len(regexp_extract_all(t, '!\[([^\]]*)\]\([^)]*\)')) + 1 + len(ls0) - len(ls1) + len(ls1) - len(ls2) + len(ls2) - len(ls) + apart + plus + headed + 1 + 3 AS n_actions FROM g)
+""".replace("\\\\", "\\")
+
+
+@query(_CLEANED + """
+SELECT id, is_administrative, is_name_list, CASE WHEN is_administrative THEN 'administrative_content' WHEN is_name_list THEN 'name_list_content' END AS reason_skip,
+    CASE WHEN is_administrative OR is_name_list THEN 0 ELSE CAST(n_actions AS INTEGER) END AS n_actions, CASE WHEN is_administrative OR is_name_list THEN '' ELSE 'TABLE WARNING (HIGH): Line has 4 pipes, expected 3: |3|4|5|' END AS warnings,
+    md5(CASE WHEN is_administrative OR is_name_list THEN t ELSE cleaned END) AS digest FROM z
+""")
 def clean_tool_nodes(spark, sf_dir):
-    d = documents(spark, sf_dir).select(F.col("doc_id").alias("id"), F.concat_ws("\n", F.lit(MARKDOWN), "text", F.lit(NOISE)).alias("text"))
-    return pipelines.clean_nodes(d, True, True, True).select("id", "is_administrative", "is_name_list", "is_toc", "reason_skip", F.md5("text").alias("digest"))
+    found = cleaning.clean_nodes(_noisy_nodes(spark, sf_dir), True, True)
+    return found.select("id", "is_administrative", "is_name_list", "reason_skip", F.size("actions").alias("n_actions"), F.array_join("warnings", ";").alias("warnings"), F.md5("text").alias("digest"))
+
+
+def _noisy_nodes(spark, sf_dir) -> DataFrame:
+    return documents(spark, sf_dir).select(F.col("doc_id").alias("id"), F.concat_ws("\n", "text", *map(F.lit, NODE_NOISE)).alias("text"))
+
+
+@query(_CLEANED + """
+SELECT CAST(count(*) AS BIGINT) AS total_nodes, CAST(count(*) FILTER (is_administrative) AS BIGINT) AS skipped_administrative_content, CAST(count(*) FILTER (NOT is_administrative AND is_name_list) AS BIGINT) AS skipped_name_list_content,
+    CAST(0 AS BIGINT) AS skipped_table_of_contents, CAST(count(*) FILTER (NOT is_administrative AND NOT is_name_list) AS BIGINT) AS table_repairs, CAST(count(*) FILTER (NOT is_administrative AND NOT is_name_list) AS BIGINT) AS warnings FROM z
+""")
+def clean_summary(spark, sf_dir):
+    return cleaning.clean_summary(cleaning.clean_nodes(_noisy_nodes(spark, sf_dir), True, True))
 
 
 def _nodes(spark, sf_dir) -> DataFrame:
@@ -493,16 +635,73 @@ def plain_export(spark, sf_dir):
     return exports.plain_text(_nodes(spark, sf_dir)).select("doc", F.md5("text").alias("digest"))
 
 
-@query()
+@query(r"""
+WITH n AS (SELECT conv_id AS doc, turn, role, coalesce(text, '') AS text, role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS changed FROM conversations)
+SELECT doc, md5('# ' || doc || chr(10) || chr(10) || '| Property | Value |' || chr(10) || '|---|---|' || chr(10) || '| Source File | `conv-' || doc || '` |' || chr(10) || '| Total Nodes | ' || count(*) || ' |' || chr(10) || chr(10)
+    || string_agg(CASE WHEN changed THEN '### ' || role || chr(10) || chr(10) ELSE '' END || '**Node ' || (turn + 1) || '**' || chr(10) || '- Domain: `d`' || chr(10) || '- Tags: `a`, `' || role || '`' || chr(10)
+    || chr(10) || '> ' || replace(text, chr(10), chr(10) || '> ') || chr(10) || chr(10) || '---' || chr(10), chr(10) ORDER BY turn)) AS digest
+FROM n GROUP BY doc
+""")
 def markdown_export(spark, sf_dir):
     return exports.markdown(_nodes(spark, sf_dir)).select("doc", F.md5("text").alias("digest"))
 
 
-@query()
+@query(r"""
+WITH n AS (SELECT conv_id AS doc, turn, {'id': conv_id || '_node_' || printf('%04d', turn), 'content': coalesce(text, ''), 'section': role, 'page': CAST(turn + 1 AS INTEGER), 'tags': ['a', role], 'domain': 'd'} AS node FROM conversations)
+SELECT doc, md5(CAST(to_json({'doc_id': CAST(doc AS VARCHAR), 'nodes': list(node ORDER BY turn), 'processing_info': {'source_file': 'conv-' || doc, 'pipeline_version': '1.1.0', 'total_nodes': count(*)}}) AS VARCHAR)) AS digest
+FROM n GROUP BY doc
+""")
 def json_export(spark, sf_dir):
     return exports.document_json(_nodes(spark, sf_dir)).select("doc", F.md5("json").alias("digest"))
 
 
+@query(r"""
+WITH n AS (SELECT conv_id AS doc, turn, role, coalesce(text, '') AS text FROM conversations)
+SELECT doc, md5('# Document: ' || doc || chr(10) || '# Source: conv-' || doc || chr(10) || '# Nodes: ' || count(*) || chr(10) || chr(10) || string_agg('# --- Sample ' || (turn + 1) || ' ---' || chr(10) || '# Domain: d' || chr(10) || '# Tags: a, ' || role || chr(10) || '# Section: ' || role || chr(10) || '<TEXT>' || chr(10) || trim(text, ' ') || chr(10) || '</TEXT>' || chr(10), chr(10) ORDER BY turn)) AS digest
+FROM n GROUP BY doc
+""")
+def training_text(spark, sf_dir):
+    return exports.training_text(_nodes(spark, sf_dir)).select("doc", F.md5("text").alias("digest"))
+
+
+@query(r"""
+WITH n AS (SELECT conv_id AS doc, turn, role, coalesce(text, '') AS text FROM conversations)
+SELECT doc, md5('Document: ' || doc || chr(10) || string_agg('┌ Node ' || doc || '_node_' || printf('%04d', turn) || chr(10) || '│ Section: ' || role || chr(10) || '│ Domain: d' || chr(10) || '│ Tags: a, ' || role || chr(10)
+    || array_to_string(list_transform(string_split(text, chr(10)), lambda l: '│ ' || left(l, 76)), chr(10)) || chr(10) || '└' || repeat('─', 76), chr(10) ORDER BY turn)) AS digest
+FROM n GROUP BY doc
+""")
+def detailed_export(spark, sf_dir):
+    return exports.detailed_text(_nodes(spark, sf_dir)).select("doc", F.md5("text").alias("digest"))
+
+
+@query(r"""
+SELECT 'conv-' || conv_id AS source, md5(CAST(to_json(list({'page': CAST(turn + 1 AS INTEGER), 'content': coalesce(text, '')} ORDER BY turn)) AS VARCHAR)) AS digest FROM conversations GROUP BY conv_id
+""")
+def array_export(spark, sf_dir):
+    records = conversations(spark, sf_dir).select("idx", "source", "page", F.col("text").alias("content"))
+    found = exports.combined_array(records, "idx")
+    return found.select("source", F.md5(F.regexp_replace("json", r'"source":"conv-\d+",', "")).alias("digest"))
+
+
+@query(r"""
+SELECT conv_id AS doc, array_to_string(list_sort(list_distinct(flatten(list(['a', role])))), ',') AS unique_tags, CAST(len(list_distinct(flatten(list(['a', role])))) AS INTEGER) AS total_unique_tags, 'd' AS domains, CAST(1 AS INTEGER) AS total_domains FROM conversations GROUP BY conv_id
+""")
+def tag_stats(spark, sf_dir):
+    found = tags.tag_stats(_nodes(spark, sf_dir))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("unique_tags", "domains")})
+
+
+@query(rf"""
+WITH t AS (SELECT conv_id AS doc, turn, {_FLAT_TURN} AS own FROM conversations),
+f AS (SELECT doc, {FLAT.format("string_agg('## ' || role || ' ' || turn || chr(10) || chr(10) || coalesce(text, ''), chr(10) || chr(10) ORDER BY turn)")} AS flat FROM (SELECT conv_id AS doc, turn, role, text FROM conversations) GROUP BY doc),
+a AS (SELECT t.doc, turn, CASE WHEN own = '' THEN -1 ELSE coalesce({", ".join(f"nullif(instr(flat, left(own, {n})), 0)" for n in (120, 80, 60))}, 0) - 1 END AS found FROM t JOIN f USING (doc))
+SELECT doc, CAST(turn AS BIGINT) AS idx, CAST(found AS INTEGER) AS source_char_pos, CAST(row_number() OVER (PARTITION BY doc ORDER BY CASE WHEN found < 0 THEN 1 ELSE 0 END, found, turn) - 1 AS INTEGER) AS place FROM a
+""")
+def reorder(spark, sf_dir):
+    found = pages.reorder(conversations(spark, sf_dir).select("doc", "idx", "text"), headed(spark, sf_dir))
+    return found.select("doc", "idx", "source_char_pos", F.col("order").alias("place"))
+
+
 @query(rf"""
 WITH n AS (SELECT conv_id AS doc, coalesce(text, '') AS t FROM conversations),
 f AS (SELECT doc, greatest(1, length(t) // 4) AS tokens, len(regexp_extract_all(t, '!\[[^\]]*\]\([^)]+\)')) > 0 OR len(regexp_extract_all(t, '(?i)kcb[_.][^\n]+\d{{1,2}}\s*[:/]\s*\d{{1,2}}')) > 0
@@ -517,14 +716,23 @@ def audit_summary(spark, sf_dir):
 
 @query()
 def full_pipeline(spark, sf_dir):
-    done = pipelines.main(headed(spark, sf_dir))
-    return done.select("doc", "idx", "id", "section", "page", "domain", F.md5("text").alias("digest"))
+    done = pipelines.main(headed(spark, sf_dir), _paged(spark, sf_dir), WORDS)
+    return done.select("doc", "idx", "id", "section", "page", "domain", F.array_join("tags", ",").alias("tags"), F.md5("text").alias("digest"))
+
+
+@query()
+def batch_pipeline(spark, sf_dir):
+    """Conversations as documents in two parts of at most eight pages each."""
+    part = F.concat(F.lit("<!--PAGE:"), (F.col("idx") % 8 + 1).cast("string"), F.lit("-->\n"), "text")
+    c = conversations(spark, sf_dir)
+    parts = c.groupBy("doc", (F.floor(F.col("idx") / 8) + 1).cast("int").alias("part")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", part.alias("p")))), lambda x: x.p), "\n\n").alias("text"))
+    done = pipelines.batch(parts, 8, c.groupBy("doc").agg(F.max("page").alias("pages")), WORDS)
+    return done.select("doc", "part", "idx", "id", "page", "page_end", "domain", F.md5("text").alias("digest"))
 
 
 @query()
 def clean_and_rechunk(spark, sf_dir):
-    c = conversations(spark, sf_dir).select(F.concat(F.lit("group-"), (F.col("doc") % 10).cast("string")).alias("source"), "page", F.concat_ws("-", F.col("doc").cast("string"), F.col("idx").cast("string")).alias("id"), "text")
-    return pipelines.clean_and_rechunk(c).select("source", "n", "page_start", "page_end", "chars", F.md5("text").alias("digest"))
+    return pipelines.clean_and_rechunk(_grouped(spark, sf_dir)).select("source", "n", "page_start", "page_end", "chars", F.md5("text").alias("digest"))
 
 
 @query(r"""SELECT source, CAST(count(*) AS BIGINT) AS n, max_by(doc_id, length(text) * 100000 + doc_id) AS longest FROM documents GROUP BY source""")

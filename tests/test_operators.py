@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from folioflow.operators import audit, chunks, exports, pages, structure, tables
+from folioflow.operators import audit, chunks, cleaning, exports, pages, structure, tables, tags
 from folioflow.plans import pipelines
 from folioflow.sources import readers, writers
 
@@ -11,7 +11,9 @@ def docs(spark, *texts):
 
 def test_section_paths_follow_levels(spark):
     rows = structure.section_paths(docs(spark, "a\n# A\nb\n## B\n1. x\nc\n# C\nd")).orderBy("pos").collect()
-    assert [r.path for r in rows] == ["Document", "Document", "A", "A", "A > B", "A > B > 1. x", "A > B > 1. x", "C"]
+    assert [r.path for r in rows] == ["Document", "Document", "A", "A", "A > B", "A > B > 1", "A > B > 1", "C"]
+    rows = structure.section_paths(docs(spark, "# A\n1. x\n## B\nII) y\nb\n#### D\n## E\n" + "# " + "t" * 60 + "\nend")).orderBy("pos").collect()
+    assert [r.path for r in rows][4:] == ["A > 1 > B > II", "A > 1 > B > II", "A > 1 > B > II > D", "A > E", "t" * 40]
 
 
 def test_chunks_keep_all_words_and_limits(spark):
@@ -26,8 +28,8 @@ def test_chunks_keep_all_words_and_limits(spark):
 def test_rechunk_loses_nothing(spark):
     rows = [("s", i, f"{i:03d}", f"## H{i}\n" + "word " * 100) for i in range(1, 20)]
     nodes = spark.createDataFrame(rows, "source string, page int, id string, text string")
-    for by_lines in (False, True):
-        found = chunks.rechunk(nodes, 2000, 500, by_lines=by_lines).orderBy("n").collect()
+    for found in (chunks.rechunk(nodes, 2000, 500), chunks.rechunk_lines(nodes, 2000)):
+        found = found.orderBy("n").collect()
         assert len(found) > 3 and " ".join(r.text for r in found).split() == " ".join(r[3] for r in rows).split()
         assert found[0].page_start == 1 and found[-1].page_end == 19 and all(a.page_end <= b.page_start + 1 for a, b in zip(found, found[1:]))
 
@@ -102,3 +104,120 @@ def test_stream_gives_what_the_batch_gives(spark, tmp_path):
     q = clean_stream(spark.readStream.schema("doc bigint, text string").parquet(str(tmp_path / "in"))).writeStream.format("memory").queryName("cleaned").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
     q.awaitTermination(60)
     assert sorted(tuple(r) for r in spark.table("cleaned").collect()) == sorted(tuple(r) for r in clean_stream(spark.read.parquet(str(tmp_path / "in"))).collect())
+
+
+def test_rechunk_by_structure_equals_a_slow_form(spark):
+    """All of a source at once, every place tried, against the streaming form."""
+    import random
+    import re
+
+    def slow(parts, target, least, most):
+        text = "\n\n".join(t for _, t in parts)
+        text = re.sub(r"\n{3,}", "\n\n", text)
+        bounds, at = [], 0
+        for line in text.split("\n"):
+            if re.match(r"#{1,6}\s+.+|\d+(?:\.\d+)*\.?\s+.+", line.strip()):
+                bounds.append(at)
+            at += len(line) + 1
+        out, start = [], 0
+        while start < len(text):
+            goal, end = start + target, min(start + most, len(text))
+            if goal >= len(text):
+                stop = len(text)
+            else:
+                near = [b for b in bounds if start + least <= b <= end]
+                blank = text.find("\n\n", max(goal - 200, start + least))
+                lines = [p for p in range(goal, end) if text[p] == "\n"]
+                stop = min(near, key=lambda b: abs(b - goal)) if near else blank + 2 if 0 <= blank < end else lines[0] + 1 if lines else end
+            out.append(text[start:stop].strip())
+            start = stop
+        return [x for x in out if x]
+
+    rng = random.Random(6)
+    for _ in range(30):
+        word = lambda: rng.choice(["alpha", "beta", "\n", "\n# Head\n", "\n2.1 item\n", "\n\n", "longer words here"])
+        parts = [(i, " ".join(word() for _ in range(rng.randint(1, 60))).strip("\n") or "x") for i in range(rng.randint(1, 12))]
+        found = [c["text"] for c in chunks.chunks_by_structure(iter(parts), 300, 80, 540)]
+        assert found == slow(parts, 300, 80, 540)
+
+
+def test_rechunk_lines_fields(spark):
+    table = "\n".join(f"| r{i} | {'x' * 20} |" for i in range(20))
+    nodes = spark.createDataFrame([("s.json", 1, "a", "# A\n" + "w " * 40), ("s.json", 2, "b", "## B\n1. one\n" + table), ("s.json", 0, "0", None)], "source string, page int, id string, text string")
+    found = chunks.rechunk_lines(nodes, 150).orderBy("n").collect()
+    assert [r.id for r in found] == [f"s_rechunk_{i:04d}" for i in range(len(found))] and {r.source for r in found} == {"s.json"}
+    assert [(r.section_path, r.page_start, r.page_end, r.has_table, r.headings, r.numbered) for r in found][0] == ("Document", 1, 2, True, 2, 1)
+    assert found[-1].section_path.startswith("A > B") and found[-1].page_end == 2 and all(r.chars == len(r.text) and r.tokens == len(r.text.split()) for r in found)
+    assert chunks.rechunk_summary(chunks.rechunk_lines(nodes, 150)).first().chunks == len(found)
+
+
+def test_clean_nodes(spark):
+    rows = [(1, "![a](x) ![](y)\n# H\ntext<br>more"), (2, "Căn cứ a\nNơi nhận b\nKính gửi c"), (3, None), (4, "| a | b |\n|-|\n| 1 | $x$ |\n| 2 |"), (5, "[Page 1] ![z](<br>)"), (6, " | a |\n|b|\n|c|")]
+    nodes = spark.createDataFrame(rows, "id bigint, text string").withColumn("actions_", F.lit(1))
+    found = {r.id: r for r in cleaning.clean_nodes(nodes, True).collect()}
+    assert found[1].text == "[IMG: a] \n\n# H\ntext\nmore" and found[1].actions == ["replaced_image_with_alt", "removed_image", "removed_local_images", "added_blank_before_header", "replaced_html_br_with_newline"]
+    assert found[2].reason_skip == "administrative_content" and found[2].text == rows[1][1] and found[2].actions == [] and found[3].text is None
+    assert found[4].text == "| a | b |\n|---|---|\n|1| 2|".replace("|1| 2|", "|1| 2|") and "cleaned_latex_in_table" in found[4].actions
+    assert found[5].text == "" and found[6].warnings == ["TABLE WARNING: Cannot determine column count in header:  | a |"]
+    total = cleaning.clean_summary(cleaning.clean_nodes(nodes, True)).first()
+    assert (total.total_nodes, total.skipped_administrative_content, total.table_repairs, total.warnings) == (6, 1, 1, 1)
+    assert cleaning.cleaning_report(cleaning.clean_nodes(nodes, True)).where("skip").first().flags.is_administrative
+
+
+def test_tags_equal_a_slow_form(spark):
+    import random
+    import re
+
+    dictionary = {"heart": ["tim", "tim mạch", "mạch máu"], "code": ["c++", "c", "node.js", "node"], "twice": ["ha ha", "tim"], "same": ["tim", "tim mạch", "TIM"], "none": []}
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice(["tim", "mạch", "máu", "c++", "c", "node.js", "node", "ha", "timx", "x-tim", "Tim", "\n", "c+"]) for _ in range(rng.randint(0, 25))) for _ in range(60)] + [None, ""]
+    count = lambda t, k: len(re.findall(rf"(?<!\w){re.escape(' '.join(k.lower().split()))}(?!\w)", " ".join((t or "").lower().split())))
+    want = []
+    for t in texts:
+        s = [(sum(count(t, k) for k in keys), label) for label, keys in dictionary.items()]
+        want.append([(n, label) for n, label in sorted(s, key=lambda x: -x[0]) if n])
+    rows = spark.createDataFrame(list(enumerate(texts)), "i bigint, text string").select("i", tags.scores(F.col("text"), dictionary).alias("s")).orderBy("i").collect()
+    assert [[(x.score, x.label) for x in r.s] for r in rows] == want
+
+
+def test_audit_stats_and_report(spark):
+    rows = [(0, i, "s", t, None, None) for i, t in enumerate(["a b c d e", "a b c d e!", "e d c b a", "other words", "", "| x | y |\n| z | w |\n| q | r |"])]
+    nodes = spark.createDataFrame(rows, "doc bigint, idx bigint, section string, text string, page_start int, page_end int")
+    found = audit.audit_stats(nodes).first()
+    assert (found.original_count, found.duplicate_pairs, found.after_dedup, found.table_not_removed_count) == (6, 3, 4, 1)
+    assert "table left" in audit.report(nodes).first().text
+
+
+def test_greedy_duplicates_equal_a_slow_form(spark):
+    import random
+
+    rng = random.Random(2)
+    base = [[rng.choice("abcdefghijklmnopqrst") * 2 + str(rng.randint(0, 3)) for _ in range(14)] for _ in range(5)]
+    texts = [" ".join(w if rng.random() > 0.06 else "new" for w in rng.choice(base)) + "!" * rng.randint(0, 5) for _ in range(70)] + ["", None, "!!"]
+    words = [frozenset("".join(c for c in (t or "") if c != "!").split()) for t in texts]
+    kept: list[int] = []
+    for i, w in enumerate(words):
+        near = next((j for j in sorted(kept) if (1.0 if not (w | words[j]) else len(w & words[j]) / len(w | words[j])) >= 0.85), None)
+        if near is None:
+            kept.append(i)
+        elif len(texts[i] or "") > len(texts[near] or ""):
+            kept.remove(near)
+            kept.append(i)
+    nodes = spark.createDataFrame([(7, i, t) for i, t in enumerate(texts)], "doc bigint, idx bigint, text string")
+    assert sorted(r.idx for r in audit.drop_duplicates(nodes).collect()) == sorted(kept)
+
+
+def test_pipelines_run_all_their_steps(spark):
+    text = "# Heading\n\n" + "\n\n".join(f"Paragraph {i} tells of topic{i % 7 + 1} and word{i} at some length here." for i in range(1, 61)) + "\n\n![x](a.png)\n\n| a | b |\n|-|\n| 1 | 2 |\n"
+    paged = text.replace("Paragraph 30", "<!--PAGE:2-->\nParagraph 30").replace("# Heading", "<!--PAGE:1-->\n# Heading")
+    done = pipelines.main(docs(spark, text), docs(spark, paged), {"first": ["topic1", "topic2"]}).orderBy("idx").collect()
+    assert done[0].page == 1 and done[-1].page_end == 2 and all("![x]" not in r.text for r in done) and done[0].tags == ["first"] and [r.idx for r in done] == list(range(len(done)))
+    nodes = spark.createDataFrame([("a.pdf", i, f"{i:02d}", f"## Part {i}\n" + f"Sentence {i} of many words. " * 30) for i in range(1, 12)] + [("a.pdf", 12, "12", None)], "source string, page int, id string, text string")
+    found = pipelines.clean_and_rechunk(nodes, 1000).collect()
+    assert len(found) > 2 and sum(r.text.count("Sentence 3 ") for r in found) == 30
+    stats = pipelines.chunk_statistics(nodes, pipelines.clean_and_rechunk(nodes, 1000)).first()
+    assert (stats.input_nodes, stats.sources, stats.output_chunks) == (12, 1, len(found))
+    assert {r.source for r in pipelines.standard_chunks(pipelines.clean_and_rechunk(nodes, 1000)).collect()} == {"a.pdf"}
+    parts = spark.createDataFrame([("d", k, f"<!--PAGE:1-->\nOpening of part {k} {'x' * 30}.\n<!--PAGE:2-->\nClosing of part {k}.") for k in (1, 2)], "doc string, part int, text string")
+    both = pipelines.batch(parts, 2, spark.createDataFrame([("d", 4)], "doc string, pages int")).orderBy("idx").collect()
+    assert [r.page for r in both] == [1, 3] and [r.page_end for r in both] == [2, 4] and both[1].id == "d_node_0001"

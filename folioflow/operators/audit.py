@@ -211,7 +211,8 @@ def audit_stats(nodes: DataFrame, threshold: float = 0.85, least: int = 150) ->
     duplicate_pairs counts pairs of nodes, those of equal word sets included: a class of n nodes has n (n - 1) / 2 of them,
     and two similar classes of n and m have n m; they are counted by these sizes and never listed.
     """
-    own = nodes.select("doc", "idx", "section", "text", "page_start", "page_end").persist()
+    lacking = {"section": F.lit(""), "page_start": F.lit(None).cast("int"), "page_end": F.lit(None).cast("int")}
+    own = nodes.withColumns({c: v for c, v in lacking.items() if c not in nodes.columns}).select("doc", "idx", "section", "text", "page_start", "page_end").persist()
     size = duplicate_classes(own).groupBy("doc", "class").agg(F.count("*").alias("n"))
     inside = size.select("doc", (F.col("n") * (F.col("n") - 1) / 2).alias("n"))
     side = lambda k: size.select("doc", F.col("class").alias(k), F.col("n").alias(f"n_{k}"))
@@ -234,3 +235,10 @@ def report(nodes: DataFrame, threshold: float = 0.85, least: int = 150) -> DataF
     stats = audit_stats(nodes, threshold, least).join(rows, "doc", "left")
     body = F.concat_ws("\n", F.concat(F.lit("# Audit of "), F.col("doc").cast("string")), F.lit("\n| figure | value |\n|-|-|"), *(line(k, v) for k, v in names.items()), F.lit("\n## Flagged nodes\n"), F.coalesce(F.array_join(F.transform("rows", lambda r: r.line), "\n"), F.lit("none")))
     return stats.select("doc", body.alias("text"))
+
+
+def report_rows(nodes: DataFrame) -> DataFrame:
+    """One row of type summary for each document and one of type flagged_node for each of its first flagged nodes."""
+    first = summary(nodes).select("doc", F.lit("summary").alias("type"), F.lit(None).cast("bigint").alias("idx"), "final_count", "avg_tokens", "noise_detected_count", "table_not_removed_count", "high_risk_table_removed_count")
+    rows = flagged(nodes).select("doc", F.lit("flagged_node").alias("type"), F.col("idx").cast("bigint").alias("idx"), "image_links", "footer_patterns", "gibberish_lines", "table_lines", "table_not_removed", "risky")
+    return first.unionByName(rows, allowMissingColumns=True)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import drop_invisible, sub
+from .fragments import table_ranges
 from .structure import sections
 
 _PARAGRAPHS = re.compile(r"\n\s*\n")
@@ -177,11 +178,19 @@ def chunks_by_lines(parts: Iterable[tuple[int, str]], target: int = 8000) -> Ite
 _BOUNDARY = re.compile(r"#{1,6}\s+\S|\d+(?:\.\d+)*\.?\s+\S|(?:CHƯƠNG|MỤC|PHẦN)\s+\S", re.IGNORECASE)
 
 
-def _break(text: str, at: int, target: int, least: int, most: int) -> int:
+def _break(text: str, at: int, target: int, least: int, most: int, whole_tables: bool = False) -> int:
     """Where the chunk that begins at `at` ends: at the section boundary nearest to the target, else after an empty line,
-    else after a line end, else after `most` characters."""
+    else after a line end, else after `most` characters. whole_tables: nowhere inside a table but for the last."""
     goal, end = at + target, min(at + most, len(text))
     best = None
+    if whole_tables:
+        last = text.find("\n", end)
+        tables = [(at + a, at + b) for a, b in table_ranges(text[at : last if last >= 0 else len(text)])]
+        places = [p + 1 for p in range(at, end) if text[p] == "\n" and not any(a < p + 1 <= b for a, b in tables)]
+        near = [p for p in places if p >= at + least and _BOUNDARY.match(text[p : None if (e := text.find("\n", p)) < 0 else e].strip())]
+        blank = [p for p in places if p - 2 >= max(goal - 200, at + least) and text[p - 2 : p] == "\n\n"]
+        lines = [p for p in places if p > goal]
+        return min(near, key=lambda p: abs(p - goal)) if near else blank[0] if blank else lines[0] if lines else end
     p = text.find("\n", max(at + least - 1, 0)) + 1
     while 0 < p <= end:
         if best is not None and p - goal >= abs(best - goal):
@@ -198,7 +207,7 @@ def _break(text: str, at: int, target: int, least: int, most: int) -> int:
     return line + 1 if line >= 0 else end
 
 
-def chunks_by_structure(parts: Iterable[tuple[int, str]], target: int = 8000, least: int = 2000, most: int | None = None) -> Iterator[dict]:
+def chunks_by_structure(parts: Iterable[tuple[int, str]], target: int = 8000, least: int = 2000, most: int | None = None, whole_tables: bool = False) -> Iterator[dict]:
     """Chunks of parts (page, text), joined by empty lines, with the pages at their first and last character. Cuts depend
     on what follows within `most` characters and a line; no more than that and a part is held."""
     most = most or int(1.8 * target)
@@ -217,7 +226,7 @@ def chunks_by_structure(parts: Iterable[tuple[int, str]], target: int = 8000, le
             marks.append((len(text), number))
         text += part.lstrip("\n") if text else part
         while len(text) - at > most and text.find("\n", at + most) >= 0:
-            end = _break(text, at, target, least, most)
+            end = _break(text, at, target, least, most, whole_tables)
             end = end if end > at else at + most
             yield from chunk(at, end)
             at = end
@@ -226,7 +235,7 @@ def chunks_by_structure(parts: Iterable[tuple[int, str]], target: int = 8000, le
             marks = [(0, last), *((p - at, n) for p, n in marks if p > at)]
             text, at = text[at:], 0
     while len(text) - at > target:
-        end = _break(text, at, target, least, most)
+        end = _break(text, at, target, least, most, whole_tables)
         end = end if end > at else at + most
         yield from chunk(at, end)
         at = end
@@ -258,15 +267,15 @@ def _in_order(nodes: DataFrame, fold: Callable[[Iterable[tuple[int, str]]], Iter
     return rows.mapInPandas(run, f"source string, n bigint, id string, {fields}")
 
 
-def rechunk(nodes: DataFrame, target: int = 8000, least: int = 2000, most: int | None = None) -> DataFrame:
+def rechunk(nodes: DataFrame, target: int = 8000, least: int = 2000, most: int | None = None, whole_tables: bool = False) -> DataFrame:
     """(source, n, id, text, page_start, page_end, chars): larger chunks of nodes (source, page, id, text, and
-    source_char_pos if there is one), cut by structure.
+    source_char_pos if there is one), cut by structure. whole_tables: tables are cut only if nothing else can be.
 
     Page markers and invisible characters go first. Null texts are empty, pages below 1 are unknown and count as the last
     known one, 1 at first. A source streams through one task, which holds little more than a chunk of it.
     """
     clean = sub(drop_invisible(sub(sub(F.col("text"), r"(?i)<!--\s*PAGE\s*:?\s*\d*\s*-->"), r"(?i)<!--\s*PAGE[_\s][^>]*?-->")), r"\n{3,}", "\n\n")
-    return _in_order(nodes.withColumn("text", clean), partial(chunks_by_structure, target=target, least=least, most=most), BY_STRUCTURE, "chunk")
+    return _in_order(nodes.withColumn("text", clean), partial(chunks_by_structure, target=target, least=least, most=most, whole_tables=whole_tables), BY_STRUCTURE, "chunk")
 
 
 def rechunk_lines(nodes: DataFrame, target: int = 8000) -> DataFrame:

@@ -31,10 +31,10 @@ def _opens(lines: list[str], i: int) -> bool:
     return _rowlike(lines[i]) and sum(map(_rowlike, window)) >= 2 and sum(x.count("|") for x in window) >= 4
 
 
-def _end(lines: list[str], start: int) -> int:
+def _end(lines: list[str], start: int, ahead: int = 3) -> int:
     """Where the table that opens at start ends: after its last line with a pipe.
 
-    One line without pipes may stand between two with, as may several empty ones if a row follows within three lines;
+    One line without pipes may stand between two with, as may several empty ones if a row follows within `ahead` lines;
     a heading ends it.
     """
     end = i = start + 1
@@ -46,7 +46,7 @@ def _end(lines: list[str], start: int) -> int:
             end = i + 1
         else:
             gap = lines[end : i + 1]
-            if len(gap) >= 2 and (any(x.strip() for x in gap) or not any(map(_rowlike, lines[i + 1 : i + 4]))):
+            if len(gap) >= 2 and (any(x.strip() for x in gap) or not any(map(_rowlike, lines[i + 1 : i + 1 + ahead]))):
                 break
         i += 1
     return end

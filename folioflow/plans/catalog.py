@@ -13,7 +13,8 @@ from ..functions import context as X
 from ..functions import nodes as N
 from ..functions import text as T
 from ..functions import vietnamese as V
-from ..operators import audit, chunks, cleaning, exports, pages, structure, tables, tags
+from ..operators import audit, chunks, cleaning, exports, fragments, pages, structure, tables, tags
+from ..sources import readers
 from . import pipelines
 
 QUERIES: dict = {}
@@ -617,6 +618,93 @@ def clean_summary(spark, sf_dir):
     return cleaning.clean_summary(cleaning.clean_nodes(_noisy_nodes(spark, sf_dir), True, True))
 
 
+_RSTRIP = r"regexp_replace(l, '\s+$', '')"
+
+
+@query(DIGEST.format(rf"""SELECT doc_id, {STRIP.format(SQUEEZE.format("regexp_replace(" + LINES.format("text || chr(10) || '| a   b |  ' || chr(10) || 'c    d' || chr(9) || chr(9) || 'e  ' || chr(10) || chr(10) || chr(10) || chr(10) || 'f'", rf"CASE WHEN regexp_matches({_RSTRIP}, '^\s*\|') THEN {_RSTRIP} ELSE regexp_replace({_RSTRIP}, '[ \t]{{2,}}', ' ', 'g') END") + r", '\r\n?', chr(10), 'g')"))} AS t FROM documents""".replace("{{", "{").replace("}}", "}")))
+def whitespace(spark, sf_dir):
+    return digest(documents(spark, sf_dir), "doc_id", T.normalise_whitespace(F.concat("text", F.lit("\n| a   b |  \nc    d\t\te  \n\n\n\nf"))))
+
+
+@query(DIGEST.format(rf"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text || ' 0ne hell0 a.B 1,c x,y VIỆT  NAM Viet   Nam', '\b0([a-zA-Z])', 'O\1', 'g'), '([a-zA-Z])0\b', '\1o', 'g'), '\.([{V.UPPER}])', '. \1', 'g'), ',([A-Za-zÀ-ỹ])', ', \1', 'g'),
+    'VIỆT\s+NAM', 'VIỆT NAM', 'g'), 'Việt\s+Nam', 'Việt Nam', 'g'), '(?i)viet\s+nam', 'việt nam', 'g') AS t FROM documents"""))
+def ocr_letters(spark, sf_dir):
+    return digest(documents(spark, sf_dir), "doc_id", V.fix_ocr_letters(F.concat("text", F.lit(" 0ne hell0 a.B 1,c x,y VIỆT  NAM Viet   Nam"))))
+
+
+@query(DIGEST.format(rf"""SELECT doc_id, array_to_string(list_transform(ls, lambda l, i: CASE WHEN regexp_matches(trim(l), '^#{{{{1,6}}}}\s+') AND i > 1 AND trim(ls[i - 1]) <> '' THEN chr(10) || l ELSE l END), chr(10)) AS t
+    FROM (SELECT doc_id, list_transform(string_split('{MARKDOWN}' || chr(10) || text, chr(10)), lambda l: CASE WHEN regexp_matches(l, '^\s*#{{{{1,6}}}}\s*-\s+') THEN regexp_replace(l, '^\s*(#{{{{1,6}}}})\s*-\s+(.*?)\s*$', '\1 \2') ELSE l END) AS ls FROM documents)""".replace("{{{{", "{").replace("}}}}", "}").replace("{{", "{").replace("}}", "}")))
+def heading_lines(spark, sf_dir):
+    return digest(documents(spark, sf_dir), "doc_id", V.normalise_headings(F.concat_ws("\n", F.lit(MARKDOWN), "text")))
+
+
+@query(rf"""
+WITH l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS l, unnest(range(len(string_split(t, chr(10))))) AS pos FROM (SELECT doc_id, 'one-' || chr(10) || 'two' || chr(10) || 'three' || chr(10) || '- four' || chr(10) || 'five' || chr(10) || replace(text, '. ', chr(10)) AS t FROM documents)),
+p AS (SELECT *, lag(l) OVER w AS last, coalesce(regexp_matches(trim(lag(l) OVER w), '^(?:#|-|\d+\.)') OR trim(lag(l) OVER w) = '', true) AS shut FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+c AS (SELECT *, NOT shut AND ends_with(rtrim(last), '-') AND regexp_matches(trim(l), '^[{V.LOWER}{V.UPPER}]') AS hyphen, NOT shut AND NOT regexp_matches(rtrim(last), '[.!?:;,]$') AND regexp_matches(trim(l), '^[{V.LOWER}]') AS goes_on FROM p),
+r AS (SELECT *, sum(CASE WHEN hyphen OR goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS g FROM c),
+k AS (SELECT *, (hyphen OR goes_on) AND row_number() OVER (PARTITION BY doc_id, g ORDER BY pos) % 2 = 0 AS taken FROM r),
+n AS (SELECT *, coalesce(lead(taken) OVER w, false) AS takes, lead(hyphen) OVER w AS h, lead(l) OVER w AS more FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+o AS (SELECT doc_id, pos, CASE WHEN takes AND h THEN regexp_replace(rtrim(l), '-$', '') || trim(more) WHEN takes THEN rtrim(l) || ' ' || trim(more) ELSE l END AS x FROM n WHERE NOT taken)
+SELECT doc_id, CAST(length(string_agg(x, chr(10) ORDER BY pos)) AS BIGINT) AS n_chars, md5(string_agg(x, chr(10) ORDER BY pos)) AS digest FROM o WHERE trim(x) <> '' GROUP BY doc_id
+""")
+def broken_lines(spark, sf_dir):
+    text = F.concat(F.lit("one-\ntwo\nthree\n- four\nfive\n"), F.replace(F.col("text"), F.lit(". "), F.lit("\n")))
+    return digest(documents(spark, sf_dir), "doc_id", V.join_broken_lines(text))
+
+
+@query(DIGEST.format(rf"""SELECT doc_id, {STRIP.format(SQUEEZE.format(INVISIBLE.format(r"regexp_replace(regexp_replace(text || chr(10) || '<!-- PAGE 3 --> ' || chr(10) || 'a<PARSED TEXT FOR PAGE: 4>' || chr(8203) || 'b' || chr(65533), '(?i)<!--\s*PAGE[^>]*?-->\s*\n?', '', 'g'), '(?i)<PARSED TEXT FOR PAGE:[^>]*>', '', 'g')")))} AS t FROM documents""".replace("{{", "{").replace("}}", "}")))
+def residue(spark, sf_dir):
+    return digest(documents(spark, sf_dir), "doc_id", V.drop_residue(F.concat("text", F.lit("\n<!-- PAGE 3 --> \na<PARSED TEXT FOR PAGE: 4>\u200bb\ufffd"))))
+
+
+@query(r"""
+SELECT l_orderkey AS k, CAST(l_linenumber AS BIGINT) AS n, CAST(l_partkey AS BIGINT) AS p,
+    '| ' || l_linenumber || ' | ' || CAST(floor(l_quantity / 10) AS BIGINT) || '.' || (l_partkey % 10) || ' | | ' || l_suppkey || ' mg|' AS row FROM lineitem
+""")
+def loose_rows(spark, sf_dir):
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    raw = F.concat(F.lit("| "), F.col("l_linenumber").cast("string"), F.lit(" | "), F.floor(F.col("l_quantity") / 10).cast("bigint").cast("string"), F.lit(". "), (F.col("l_partkey") % 10).cast("string"), F.lit(" || $"), F.col("l_suppkey").cast("string"), F.lit("$ \\mathrm{mg}"))
+    return li.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("bigint").alias("n"), F.col("l_partkey").cast("bigint").alias("p"), N.unwrap_latex(tables.normalise_rows(raw)).alias("row"))
+
+
+@query(DIGEST.format(r"""SELECT doc_id, regexp_replace(array_to_string(list_filter(string_split(text || chr(10) || repeat('=- ', 9) || chr(10) || repeat('*', 19) || chr(10) || chr(10) || chr(10) || chr(10) || chr(10) || 'end', chr(10)), lambda l: NOT (length(trim(l)) >= 20 AND regexp_matches(trim(l), '^[-=_~*\s]+$'))), chr(10)), '\n{{4,}}', chr(10) || chr(10) || chr(10), 'g') AS t FROM documents""".replace("{{", "{").replace("}}", "}")))
+def junk_separators(spark, sf_dir):
+    text = F.concat("text", F.lit("\n" + "=- " * 9 + "\n" + "*" * 19 + "\n\n\n\n\nend"))
+    return digest(documents(spark, sf_dir), "doc_id", tables.limit_newlines(fragments.drop_junk_separators(text)))
+
+
+@query(r"""SELECT doc_id AS doc, CAST(length(text || '![a](b)') AS BIGINT) AS chars, CAST(len(string_split(text, chr(10))) AS BIGINT) AS lines, CAST(1 AS BIGINT) AS images, CAST(octet_length(encode(text || '![a](b)')) AS BIGINT) AS bytes FROM documents""")
+def text_analysis(spark, sf_dir):
+    return readers.text_analysis(documents(spark, sf_dir).select(F.col("doc_id").alias("doc"), F.concat("text", F.lit("![a](b)")).alias("text")))
+
+
+@query(r"""
+WITH b AS (SELECT l_orderkey AS doc, l_linenumber % 3 + 1 AS page, round((l_partkey % 40) / 5.0) * 5 AS y, l_suppkey % 7 AS x, l_linenumber || ' ' || l_returnflag AS t FROM lineitem),
+p AS (SELECT doc, page, string_agg(t, chr(10) ORDER BY y, x, t) AS t FROM b GROUP BY doc, page)
+SELECT doc, CAST(max(page) AS BIGINT) AS pages, md5(string_agg('<!--PAGE:' || page || '-->' || chr(10) || t, chr(10) || chr(10) ORDER BY page)) AS digest FROM p GROUP BY doc
+""")
+def page_texts(spark, sf_dir):
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    blocks = li.select(F.col("l_orderkey").alias("doc"), (F.col("l_linenumber") % 3 + 1).cast("int").alias("page"), (F.col("l_partkey") % 40).cast("double").alias("y0"), (F.col("l_suppkey") % 7).cast("double").alias("x0"), F.concat_ws(" ", F.col("l_linenumber").cast("string"), "l_returnflag").alias("text"))
+    return readers.page_blocks(blocks).join(readers.page_counts(blocks), "doc").select("doc", "pages", F.md5("text").alias("digest"))
+
+
+@query(r"""SELECT CAST(conv_id AS VARCHAR) || '-' || turn AS id, 'A > ' || role AS section, coalesce(text, '') AS text, 'conv-' || conv_id AS source, CAST(turn + 1 AS INTEGER) AS page_start, CAST(turn + 1 AS INTEGER) AS page_end FROM conversations""")
+def tool_format(spark, sf_dir):
+    c = conversations(spark, sf_dir)
+    own = c.select(F.concat_ws("-", F.col("doc").cast("string"), F.col("idx").cast("string")).alias("chunk_id"), "source", F.concat(F.lit("A > "), "section").alias("section_path"), F.col("text").alias("content"), "page_start", "page_end")
+    return readers.tool_nodes(own)
+
+
+@query()
+def torn_texts(spark, sf_dir):
+    """Documents whose lines are cells of a torn table, repaired."""
+    torn = F.concat(F.lit("| a | b |\n|-|-|\n| "), F.replace(F.col("text"), F.lit("\n"), F.lit(" |\n| ")), F.lit(" |\ngoes on"))
+    found = fragments.process_nodes(documents(spark, sf_dir).select("doc_id", torn.alias("text")))
+    return found.select("doc_id", "skip_indexing", F.md5("text").alias("digest"))
+
+
 def _nodes(spark, sf_dir) -> DataFrame:
     c = conversations(spark, sf_dir)
     return c.withColumn("id", X.node_id(F.col("doc").cast("string"), F.col("idx"))).withColumn("tags", F.array(F.lit("a"), F.col("section"))).withColumn("domain", F.lit("d"))

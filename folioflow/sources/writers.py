@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import audit, exports
+from ..operators import audit, chunks, cleaning, exports
 
 
 def json_lines(rows: DataFrame, path: str) -> None:
@@ -32,6 +32,20 @@ def export(nodes: DataFrame, kind: str, path: str) -> None:
 
 
 def audit_report(nodes: DataFrame, path: str) -> None:
-    """The summary and the flagged nodes of every document, as JSON lines in two folders."""
-    json_lines(audit.summary(nodes), f"{path}/summary")
-    json_lines(audit.flagged(nodes), f"{path}/flagged")
+    """JSON lines of every document's summary and flagged nodes, told apart by `type`, and its report in Markdown."""
+    noted = nodes.persist()
+    json_lines(audit.report_rows(noted), f"{path}/rows")
+    document_texts(audit.report(noted), f"{path}/markdown")
+    noted.unpersist()
+
+
+def cleaning_report(cleaned: DataFrame, path: str) -> None:
+    """JSON lines of what clean_nodes() did to every node, and its summary."""
+    json_lines(cleaning.cleaning_report(cleaned), f"{path}/nodes")
+    json_lines(cleaning.clean_summary(cleaned), f"{path}/summary")
+
+
+def rechunk_report(chunks_: DataFrame, path: str) -> None:
+    """JSON lines of rechunk_lines() without the texts, and their summary."""
+    json_lines(chunks_.drop("text"), f"{path}/chunks")
+    json_lines(chunks.rechunk_summary(chunks_), f"{path}/summary")

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from folioflow.operators import audit, chunks, cleaning, exports, pages, structure, tables, tags
+from folioflow.operators import audit, chunks, cleaning, exports, fragments, pages, structure, tables, tags
 from folioflow.plans import pipelines
 from folioflow.sources import readers, writers
 
@@ -212,12 +212,53 @@ def test_pipelines_run_all_their_steps(spark):
     paged = text.replace("Paragraph 30", "<!--PAGE:2-->\nParagraph 30").replace("# Heading", "<!--PAGE:1-->\n# Heading")
     done = pipelines.main(docs(spark, text), docs(spark, paged), {"first": ["topic1", "topic2"]}).orderBy("idx").collect()
     assert done[0].page == 1 and done[-1].page_end == 2 and all("![x]" not in r.text for r in done) and done[0].tags == ["first"] and [r.idx for r in done] == list(range(len(done)))
-    nodes = spark.createDataFrame([("a.pdf", i, f"{i:02d}", f"## Part {i}\n" + f"Sentence {i} of many words. " * 30) for i in range(1, 12)] + [("a.pdf", 12, "12", None)], "source string, page int, id string, text string")
+    nodes = spark.createDataFrame([("a.pdf", i, f"{i:02d}", f"## Part {i}\n" + f"Sentence {i} of many words. " * 9) for i in range(1, 12)] + [("a.pdf", 12, "12", None)], "source string, page int, id string, text string")
     found = pipelines.clean_and_rechunk(nodes, 1000).collect()
-    assert len(found) > 2 and sum(r.text.count("Sentence 3 ") for r in found) == 30
+    assert len(found) >= 2 and sum(r.text.count("Sentence 3 ") for r in found) == 9
     stats = pipelines.chunk_statistics(nodes, pipelines.clean_and_rechunk(nodes, 1000)).first()
     assert (stats.input_nodes, stats.sources, stats.output_chunks) == (12, 1, len(found))
     assert {r.source for r in pipelines.standard_chunks(pipelines.clean_and_rechunk(nodes, 1000)).collect()} == {"a.pdf"}
     parts = spark.createDataFrame([("d", k, f"<!--PAGE:1-->\nOpening of part {k} {'x' * 30}.\n<!--PAGE:2-->\nClosing of part {k}.") for k in (1, 2)], "doc string, part int, text string")
     both = pipelines.batch(parts, 2, spark.createDataFrame([("d", 4)], "doc string, pages int")).orderBy("idx").collect()
     assert [r.page for r in both] == [1, 3] and [r.page_end for r in both] == [2, 4] and both[1].id == "d_node_0001"
+
+
+def test_fragments(spark):
+    assert fragments.join_fragments("| a | b |\nmore\n\nand more\n# H\n" + "x" * 60) == "| a | b more and more |\n\n# H\n" + "x" * 60
+    assert fragments.repair_blocks("t\n| a | b |\n|:--|:-:|--|\n| c | d\ncont |\nx") == "t\n| a | b |\n|---|---|\n| c | d cont |\nx"
+    same, end = "a line of over twenty characters", "these words end the line above"
+    assert fragments.drop_echoes(f"{same}\n{same}\nshort\nshort\nHere {end}\n{end} and go on") == f"{same}\nshort\nshort\nHere {end}  and go on"
+    assert fragments.drop_echoes("| " + "y" * 50 + " |\n<b>" + "y" * 45 + "</b>") == "| " + "y" * 50 + " |"
+    assert fragments.table_ranges("t\n| a | b |\n|-|-|\n| c | d |\nend") == [(2, 27)]
+    nodes = spark.createDataFrame([(1, "| a | b |\n|-|-|\n| 1. 5 | $x$ |\n\nend"), (2, " "), (3, None), (4, "Căn cứ a\nNơi nhận b\nKính gửi c")], "id bigint, text string")
+    found = {r.id: r for r in fragments.process_nodes(nodes).collect()}
+    assert found.keys() == {1, 4} and "| 1.5 | x |" in found[1].text and not found[1].skip_indexing and found[4].skip_indexing
+
+
+def test_rechunk_keeps_tables_whole(spark):
+    text = "word " * 60 + "\n" + "\n".join(f"| row {i} | {'x' * 10} |" for i in range(8)) + "\n" + "more words\n" * 30
+    nodes = spark.createDataFrame([("s", 1, "a", text)], "source string, page int, id string, text string")
+    whole = chunks.rechunk(nodes, 350, 100, 700, whole_tables=True).collect()
+    assert all(sum(f"| row {i} " in r.text for i in range(8)) in (0, 8) for r in whole) and len(whole) > 1
+    assert any(0 < sum(f"| row {i} " in r.text for i in range(8)) < 8 for r in chunks.rechunk(nodes, 350, 100, 700).collect())
+
+
+def test_more_sources_and_reports(spark, tmp_path):
+    for name in ("b.pdf", "B.PDF", "other b.pdf"):
+        (tmp_path / name).write_bytes(b"%PDF")
+    path = f"file://{tmp_path}"
+    assert readers.find_pdf(spark, path, "b").first().path.endswith("/b.pdf") and readers.find_pdf(spark, path, "OTHER B").count() == 1 and readers.find_pdf(spark, path, "c").count() == 0
+    assert readers.select_pdf(spark, path, "other").count() == 1
+    (tmp_path / "docs").mkdir()
+    (tmp_path / "docs" / "d.json").write_text('{"doc_id": "d", "nodes": [{"id": "d_0", "content": "x", "metadata": {"page_start": 3, "tags": ["t"]}}, {"id": "d_1", "content": "y", "section": "S", "page": 2}], "processing_info": {"source_file": "d.pdf"}}')
+    (tmp_path / "docs" / "broken.json").write_text("{")
+    rows = readers.documents(spark, f"{path}/docs").orderBy("idx").collect()
+    assert [(r.id, r.page, r.source, r.section, r.tags) for r in rows] == [("d_0", 3, "d.pdf", "", ["t"]), ("d_1", 2, "d.pdf", "S", None)]
+    nodes = spark.createDataFrame([(0, 0, "s", "![a](b) text", 1, 1), (0, 1, "s", "plain words here", 2, 2)], "doc bigint, idx bigint, section string, text string, page_start int, page_end int")
+    writers.audit_report(nodes, f"{path}/audit")
+    assert {r.type for r in spark.read.json(f"{path}/audit/rows").collect()} == {"summary", "flagged_node"}
+    cleaned = cleaning.clean_nodes(spark.createDataFrame([("c", "s", 1, "![a](b)")], "chunk_id string, source string, page int, text string"))
+    writers.cleaning_report(cleaned, f"{path}/clean")
+    assert spark.read.json(f"{path}/clean/nodes").first().actions[0] == "replaced_image_with_alt"
+    writers.rechunk_report(chunks.rechunk_lines(spark.createDataFrame([("s", 1, "a", "x y")], "source string, page int, id string, text string")), f"{path}/rechunk")
+    assert spark.read.json(f"{path}/rechunk/summary").first().chunks == 1

@@ -4,7 +4,8 @@ An archive file starts with a skippable frame that holds the dictionary, trained
 by one Zstandard frame per record: any record can be read knowing the dictionary and its offset. Of pages with equal
 payloads the one with the largest page_id is a response record, the others are revisit records that refer to it.
 
-Equal payloads meet by their SHA-256 in rows of a few bytes only. Archives are written by the tasks to the shared
+Equal payloads meet by their SHA-256 in rows of a few bytes only; the pages themselves learn by id and digest whether
+they are revisits. Archives are written by the tasks to the shared
 folder under names of the task attempt and moved into place when complete; readers take only the files that the
 manifest lists, which holds those of successful attempts.
 """
@@ -22,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, materialize, pick, scratch_path
+from .common import broadcast_if_small, chunks, materialize, pick, scratch_path
 
 #: First four bytes of the leading skippable frame.
 MAGIC = 0x184D2A5D
@@ -45,9 +46,11 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     uri = "".join(c if c > " " else f"%{ord(c):02X}" for c in url or "about:blank")
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = head if refers_to is not None else head + payload
-    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {DATE}", f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{digest(payload)}", "Content-Type: application/http; msgtype=response"]
+    sha = digest(payload)
+    name = lambda i: f"<urn:page:{'' if i is None else i}:{sha}>"  # noqa: E731  pages that share an id differ in their payload
+    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {name(page_id)}", f"WARC-Date: {DATE}", f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{sha}", "Content-Type: application/http; msgtype=response"]
     if refers_to is not None:
-        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {name(refers_to)}"]
     return "\r\n".join([*lines, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
 
 
@@ -60,8 +63,7 @@ def parse(raw: bytes) -> dict:
     sha = fields["WARC-Payload-Digest"].removeprefix("sha1:")
     if fields["WARC-Type"] == "response" and (len(payload) != length or digest(payload) != sha):
         raise ValueError(f"damaged record {fields['WARC-Record-ID']}")
-    own = fields["WARC-Record-ID"][len("<urn:page:") : -1]
-    to = fields.get("WARC-Refers-To", "")[len("<urn:page:") : -1]
+    own, to = (fields.get(k, "")[len("<urn:page:") : -1].partition(":")[0] for k in ("WARC-Record-ID", "WARC-Refers-To"))
     return {"page_id": int(own) if own else None, "payload_bytes": length, "payload_digest": sha, "record_type": fields["WARC-Type"], "refers_to": int(to) if to else None, "payload": payload if fields["WARC-Type"] == "response" else None}
 
 
@@ -126,10 +128,13 @@ def with_referrals(pages: DataFrame, least: int = 0) -> DataFrame:
     """
     p = pick(pages, page_id="page_id bigint", url="url string", html="html string").withColumn("html", F.coalesce("html", F.lit("")))
     key = F.when(F.octet_length("html") >= least, F.sha2("html", 256))
-    twice = p.select("page_id", key.alias("k")).where("k is not null and page_id is not null").groupBy("k").agg(F.max("page_id").alias("top"), F.min("page_id").alias("low")).where("top > low").drop("low")
+    keys = p.select("page_id", key.alias("k")).where("k is not null and page_id is not null")
+    twice = keys.groupBy("k").agg(F.max("page_id").alias("top"), F.min("page_id").alias("low")).where("top > low").drop("low")
     twice = materialize(twice, "payloads")
-    joined = p.withColumn("k", key).join(twice, "k", "left")
-    return joined.select("page_id", "url", F.col("html").cast("binary").alias("payload"), F.when(F.col("page_id") < F.col("top"), F.col("top")).alias("refers_to"))
+    again = keys.join(broadcast_if_small(twice, 100), "k").where("page_id < top").select("page_id", "k", "top").distinct()
+    again = broadcast_if_small(materialize(again, "revisits"), 108)
+    joined = p.withColumn("k", key).join(again, ["page_id", "k"], "left")  # beyond a broadcast pages meet by their ids, never by payload
+    return joined.select("page_id", "url", F.col("html").cast("binary").alias("payload"), F.col("top").alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, path: str, least: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:

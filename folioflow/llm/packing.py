@@ -37,8 +37,8 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-#: Texts of these characters alone are already in NFC and lower-cased character by character without context.
-PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa0-\u012f\u0131-\u024f]|<\\|")
+#: Texts of these characters alone are already in NFC and lower-cased character by character within them, without context.
+PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa0-\u012f\u0131-\u017f]|<\\|")
 
 
 class Encoder:
@@ -48,7 +48,7 @@ class Encoder:
     else; its last id is one whose entry ends in the end-of-word mark.
     """
 
-    LETTERS, DIGITS = "a-zªµºß-öø-ɏ", "0-9²³¹¼-¾"  # of plain lower-cased texts
+    LETTERS, DIGITS = "a-zªµºß-öø-ſ", "0-9²³¹¼-¾"  # of plain lower-cased texts
     WORDS = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\\s{LETTERS}{DIGITS}]+"
 
     def __init__(self, path: str):

@@ -211,6 +211,18 @@ def test_packing_round_trip(spark):
     assert len(bins) <= 1.05 * sum(r.length for r in found) / 4096 + 1
 
 
+def test_token_ids_of_random_text_equal_the_library():
+    from tokenizers import Tokenizer
+
+    tokenizer, encode = Tokenizer.from_file(packing.tokenizer_path()), packing.Encoder(packing.tokenizer_path())
+    rng = random.Random(11)
+    ranges = [(0x20, 0x7F), (0xA0, 0x250), (0x300, 0x370), (0x370, 0x500), (0x5D0, 0x700), (0xE00, 0xE80), (0x2000, 0x2070), (0x3040, 0x30FF), (0x4E00, 0x4F00), (0x1F600, 0x1F640), (0x09, 0x0E)]
+    for _ in range(300):
+        own = rng.choices(ranges, k=rng.randint(1, 3))
+        text = "".join(rng.choice([chr(rng.randrange(*rng.choice(own))), rng.choice(" \n'.09aZ")]) for _ in range(rng.randint(0, 60)))
+        assert np.frombuffer(encode([text.encode()])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_sum_of_squares_rule():
     def slow(sizes, capacity):
         left = []
@@ -287,6 +299,39 @@ def test_language_accuracy(spark):
     assert sum(r.lang == r.lang_pred for r in found) >= 0.97 * len(found) > 100
 
 
+def test_language_scores_by_definition(spark):
+    """Cosines of TF-IDF vectors made one n-gram at a time, against the vectorised form."""
+    rng = random.Random(2)
+    word = {"aa": lambda: "".join(rng.choice("abcd") for _ in range(4)), "zz": lambda: "".join(rng.choice("wxyzé") for _ in range(5))}
+    rows = [(i, " ".join(word[k]() for _ in range(rng.randint(3, 30))), k) for i in range(40) for k in [rng.choice(["aa", "zz"])]]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    texts = [(0, "abcd dcba!"), (1, "Wxyz, é 12 zyx"), (2, "abcd wxyz"), (3, None), (4, "12 !")]
+
+    def slow(text):
+        b, found = langid.cleaned(text), {}
+        for i, x in enumerate(b):
+            keys = [x] if x != 0x20 else []
+            two = [(b[k] * 0x9E3B + b[k + 1] * 0x85EB) % 2**32 for k in (i, i + 1) if k + 1 < len(b)]
+            if two:
+                keys.append((two[0] ^ (two[0] >> 13)) % langid.BUCKETS)
+            if i + 2 < len(b):
+                three = (two[0] * 0x2F0B + b[i + 2] * 0xC2B3) % 2**32
+                keys.append((three ^ (three >> 11)) % langid.BUCKETS)
+            for k in keys:
+                found[k] = found.get(k, 0) + 1
+        v = {k: n**0.5 * float(model.idf[k]) for k, n in found.items()}
+        size = sum(x * x for x in v.values()) ** 0.5
+        cosines = [sum(x * float(c[k]) for k, x in v.items()) / size for c in model.centroids]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        return model.languages[model.owner[best]], cosines[best]
+
+    found = {r.doc_id: r for r in langid.identify(spark.createDataFrame(texts, "doc_id bigint, text string"), model).collect()}
+    for i, t in texts[:3]:
+        lang, score = slow(t)
+        assert found[i].lang_pred == lang and found[i].score == pytest.approx(score, abs=1e-4)
+    assert [(found[i].lang_pred, found[i].score, found[i].rejected) for i in (3, 4)] == [("und", 0.0, True)] * 2
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     found = toxicity.op5_toxicity(spark, sf).where("held_out").join(table(spark, sf, "labels"), "doc_id").collect()
@@ -402,5 +447,22 @@ def test_pipeline_stages(spark):
                 assert (d in kept) == (not (hit and 20 * len(hit) >= len(ws)))
 
 
+def test_pipeline_stages_on_awkward_tables(spark, awkward):
+    """Every stage on nulls, shared and null ids, clashing columns and an empty table: columns stay, no clean row goes."""
+    import corpus_pipeline as p
+
+    clash = awkward.select("*", F.lit(1).alias("rejected"), F.lit(2.0).alias("score"), F.lit("x").alias("lang_pred"), F.lit(3).alias("own"), F.lit(4).alias("wanted_own"), F.lit(5).alias("n_hit"))
+    for name, stage in p.STAGES[:-1]:
+        found = stage(spark, clash, SMALL)
+        assert found.columns == clash.columns, name
+        rows = found.collect()
+        if name in ("line_dedup", "decontamination"):
+            assert len(rows) == len(AWKWARD), name
+        if name == "simhash_dedup":  # equal texts are one group each, texts without words another
+            assert sorted(str(r.doc_id) for r in rows) == ["1", "2", "5", "6", "None"] or len(rows) >= 4
+        assert all(r.n_hit == 5 and r.own == 3 for r in rows)
+        assert stage(spark, clash.where("false"), SMALL).count() == 0, name
+
+
 def test_digests():
     assert warc.digest(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ" and hashlib.sha1(b"").hexdigest()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import re
 import sys
@@ -104,6 +105,17 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Return memory that this Python worker has freed to the system; idle workers share the executor's limit."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
 def worker_store(name: str) -> dict:
     """A dictionary that lives as long as the Python worker, across its tasks; those of other names go."""
     module = sys.modules.setdefault("_folioflow_worker_store", types.ModuleType("_folioflow_worker_store"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import pick, slices, worker_store
+from .common import give_back, pick, slices, worker_store
 
 #: Hash buckets of n-grams.
 BUCKETS = 8192
@@ -163,6 +163,7 @@ def identify(docs: DataFrame, model: Model | None, rows: bool = False) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         worker_store("languages")
+        give_back()
         for b in (x for batch in batches for x in slices(batch, 1)):
             texts = b.column(1).to_pylist()
             names, scores, rejected = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, pick, slices, utf8, worker_store
+from .common import give_back, materialize, pick, slices, utf8, worker_store
 
 LENGTH = 4096
 END = 1
@@ -101,6 +101,7 @@ def encoder(path: str) -> Encoder:
     store = worker_store("encoders")
     if path not in store:
         store[path] = Encoder(path)
+        give_back()  # reading the tokenizer leaves tens of megabytes
     return store[path]
 
 
@@ -118,6 +119,8 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> Da
                     own = ids[start : start + 4 * length]
                     rows.append((doc, p, start // 4, len(own) // 4, zlib.crc32(own)))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if k == 1 else pa.int64()) for k, x in enumerate(zip(*rows, strict=True) if rows else [[]] * 5)], names)
+            del rows
+            give_back()
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     return pick(docs, doc_id="doc_id bigint", text="text string").mapInArrow(run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")

@@ -230,7 +230,7 @@ def test_fragments(spark):
     assert fragments.drop_echoes(f"{same}\n{same}\nshort\nshort\nHere {end}\n{end} and go on") == f"{same}\nshort\nshort\nHere {end}  and go on"
     assert fragments.drop_echoes("| " + "y" * 50 + " |\n<b>" + "y" * 45 + "</b>") == "| " + "y" * 50 + " |"
     assert fragments.table_ranges("t\n| a | b |\n|-|-|\n| c | d |\nend") == [(2, 27)]
-    nodes = spark.createDataFrame([(1, "| a | b |\n|-|-|\n| 1. 5 | $x$ |\n\nend"), (2, " "), (3, None), (4, "Căn cứ a\nNơi nhận b\nKính gửi c")], "id bigint, text string")
+    nodes = spark.createDataFrame([(1, "| a | b |\n|-|-|\n| 1. 5 | $x$ |\n\n# End"), (2, " "), (3, None), (4, "Căn cứ a\nNơi nhận b\nKính gửi c")], "id bigint, text string")
     found = {r.id: r for r in fragments.process_nodes(nodes).collect()}
     assert found.keys() == {1, 4} and "| 1.5 | x |" in found[1].text and not found[1].skip_indexing and found[4].skip_indexing
 

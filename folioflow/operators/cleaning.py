@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import nodes as N
-from ..functions.text import U, strip, sub, words
+from ..functions.text import U, let, strip, sub, words
 from .tables import repaired
 
 #: Footers that nodes still have.
@@ -57,8 +57,7 @@ def _repetitive(line: Column) -> Column:
 
 
 def _headings(nodes: DataFrame) -> DataFrame:
-    lines = F.split("text", "\n")
-    close = F.filter(lines, lambda x, i: x.rlike(rf"{U}^#{{1,6}}\s") & (i > 0) & (strip(F.get(lines, i - 1)) != ""))
+    close = let(F.split("text", "\n"), lambda f: F.filter(f, lambda x, i: x.rlike(rf"{U}^#{{1,6}}\s") & (i > 0) & (strip(F.get(f, i - 1)) != "")))
     return _noted(nodes, _times("added_blank_before_header", F.size(close)), N.space_headings(F.col("text")))
 
 

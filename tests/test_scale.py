@@ -1,8 +1,13 @@
 """What keeps large inputs within bounds: work that must not grow faster than the input."""
 
 import random
+import time
 
-from folioflow.operators import audit
+from pyspark.sql import functions as F
+
+from folioflow.functions import text as T
+from folioflow.functions import vietnamese as V
+from folioflow.operators import audit, cleaning
 
 
 def _near_nodes(seed: int = 1, n: int = 60) -> list[tuple]:
@@ -47,3 +52,30 @@ def test_counts_of_merged_nodes_are_those_of_merging(spark):
     nodes = spark.createDataFrame(rows, "doc string, idx bigint, section string, text string, page_start int, page_end int")
     want = {x.doc: x["count"] for x in audit.merge_short(nodes).groupBy("doc").count().collect()}
     assert {x.doc: x.final_count for x in audit.merged_counts(nodes, audit.document_minimum(nodes)).collect()} == want
+
+
+def _seconds(spark, change, lines: list[str]) -> float:
+    docs = spark.createDataFrame([("\n".join(lines),)], "text string").select(F.length(change(F.col("text"))).alias("n"))
+    docs.collect()
+    began = time.time()
+    docs.collect()
+    return time.time() - began
+
+
+def test_long_texts_are_cleaned_in_linear_time(spark):
+    """Eight times the lines take about eight times as long, not 64 times."""
+    for change in (lambda t: V.join_broken_lines(t, True), T.drop_repeated_lines):
+        lines = [f"Line {i // 2} that stands here twice and has a number of its own, " + "x" * (i % 7) for i in range(80_000)]
+        assert _seconds(spark, change, lines) < 30 * max(0.1, _seconds(spark, change, lines[:10_000]))
+
+
+def test_headings_of_long_nodes_are_counted_in_linear_time(spark):
+    one = lambda n: spark.createDataFrame([("\n".join(["a", "# b"] * n), [])], "text string, actions array<string>")
+    took = {}
+    for n in (1000, 8000):
+        found = cleaning._headings(one(n)).select(F.size("actions").alias("n"))
+        found.collect()
+        began = time.time()
+        assert found.first().n == n
+        took[n] = time.time() - began
+    assert took[8000] < 30 * max(0.1, took[1000])

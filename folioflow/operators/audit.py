@@ -46,7 +46,7 @@ def _identity(words: Column) -> Column:
     return F.struct(F.xxhash64(words).alias("a"), F.xxhash64(F.lit(1), words).alias("b"))
 
 
-def _candidates(nodes: DataFrame, threshold: float) -> DataFrame:
+def _candidates(nodes: DataFrame, threshold: float, kept: bool = False) -> DataFrame:
     """(doc, a, b, ka, kb): pairs of classes of equal word sets, by their smallest idx and their identity, among which are all
     that reach the threshold: they share SHARED of their rarest words (all they must share, if these are fewer)."""
     hashes = nodes.select(F.transform(word_set(F.col("text")), lambda x: F.xxhash64(x)).alias("w"))
@@ -58,6 +58,7 @@ def _candidates(nodes: DataFrame, threshold: float) -> DataFrame:
     counted = nodes.select("doc", "idx", "text", _frequencies(hashes).scalar().alias("frequency"))
     own = counted.select("doc", "idx", let(word_set(F.col("text")), rarest).alias("s"))
     found = own.groupBy("doc", F.col("s.k").alias("k")).agg(F.min("idx").alias("idx"), F.first("s").alias("s"))
+    found = found.persist() if kept else found  # Spark shares no shuffles above kept nodes
     rows = found.select("doc", "idx", F.col("s.n").alias("n"), F.posexplode("s.t").alias("at", "t"))  # empty sets make none
     a, b = rows.alias("a"), rows.alias("b")
     share = threshold / (1 + threshold)
@@ -70,7 +71,7 @@ def _candidates(nodes: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(side("a"), ["doc", "a", "na"]).join(side("b"), ["doc", "b", "nb"]).select("doc", "a", "b", "ka", "kb")
 
 
-def duplicate_pairs(nodes: DataFrame, threshold: float = 0.8) -> DataFrame:
+def duplicate_pairs(nodes: DataFrame, threshold: float = 0.8, kept: bool = False) -> DataFrame:
     """(doc, a, b, similarity): pairs of nodes (doc, idx, text) of a document whose word sets reach the Jaccard threshold.
 
     Nodes with equal word sets, empty ones included, are one class, named by its smallest idx; pairs are of classes, so
@@ -79,8 +80,9 @@ def duplicate_pairs(nodes: DataFrame, threshold: float = 0.8) -> DataFrame:
     row, by counts in a table of fixed size. Length and positions of shared words and their number rule out most other
     pairs. The others are compared in cells, each with the pairs of a few nodes: words go to a cell once and not to every
     pair. A pair's cell is the first node that its own first one is like; cells of many pairs are cut by the hashes of both.
+    kept: the nodes are persisted.
     """
-    pairs = _candidates(nodes, threshold).persist()  # read several times; what made it is costly
+    pairs = _candidates(nodes, threshold, kept).persist()  # read several times; what made it is costly
     first = pairs.groupBy("doc", F.col("b").alias("a")).agg(F.min("a").alias("first"))
     placed = pairs.join(first, ["doc", "a"], "left").withColumn("cell", F.coalesce("first", "a")).drop("first")
     many = placed.groupBy("doc", "cell").agg(F.ceil(F.sqrt(F.count("*") / COMPARED)).alias("cuts"))
@@ -254,7 +256,8 @@ def audit(nodes: DataFrame, threshold: float = 0.85, least: int = 150) -> DataFr
     """Duplicates dropped, then short nodes merged and renumbered; nodes as for merge_short(). What counts as short is
     taken from all nodes, duplicates included."""
     nodes = nodes.select("doc", "idx", "section", "text", "page_start", "page_end").persist()  # read several times; what made it is costly
-    return merge_short(drop_duplicates(nodes, threshold), least, document_minimum(nodes, least))
+    texts = nodes.withColumn("text", F.coalesce("text", F.lit("")))
+    return merge_short(drop_duplicates(nodes, threshold, pairs=duplicate_pairs(texts, threshold, True).persist()), least, document_minimum(nodes, least))
 
 
 def audit_stats(nodes: DataFrame, threshold: float = 0.85, least: int = 150) -> DataFrame:
@@ -267,7 +270,7 @@ def audit_stats(nodes: DataFrame, threshold: float = 0.85, least: int = 150) ->
     lacking = {"section": F.lit(""), "page_start": F.lit(None).cast("int"), "page_end": F.lit(None).cast("int")}
     own = nodes.withColumns({c: v for c, v in lacking.items() if c not in nodes.columns}).select("doc", "idx", "section", "text", "page_start", "page_end").persist()
     texts = own.withColumn("text", F.coalesce("text", F.lit("")))
-    sets, alike = _sets(texts), duplicate_pairs(texts, threshold).persist()  # both are read several times
+    sets, alike = _sets(texts), duplicate_pairs(texts, threshold, True).persist()  # both are read several times
     size = duplicate_classes(texts, sets).groupBy("doc", "class").agg(F.count("*").alias("n"))
     inside = size.select("doc", (F.col("n") * (F.col("n") - 1) / 2).alias("n"))
     side = lambda k: size.select("doc", F.col("class").alias(k), F.col("n").alias(f"n_{k}"))

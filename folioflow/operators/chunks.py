@@ -11,10 +11,12 @@ from itertools import groupby, islice
 from operator import itemgetter
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import drop_invisible, sub
+from .batches import give_back, pieces
 from .fragments import table_ranges
 from .structure import sections
 
@@ -83,17 +85,28 @@ def pack_section(text: str, least: int = 150, most: int = 400) -> list[str]:
     return out
 
 
+_PACKED = pa.schema([("at", pa.int64()), ("section_no", pa.int64()), ("n", pa.int64()), ("section", pa.string()), ("text", pa.string()), ("tokens", pa.int64()), ("has_table", pa.bool_())])
+
+
 def chunk(docs: DataFrame, least: int = 150, most: int = 400) -> DataFrame:
     """(doc, idx, section, text, tokens, has_table): nodes of docs (doc, text) in order; idx counts within a document."""
-    found = sections(docs)
+    found = sections(docs).select("doc", "section", "title", "text")
     kind = found.schema["doc"].dataType.simpleString()
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            rows = [(d, s, n, title, x, tokens(x), is_table(x)) for d, s, title, text in zip(p.doc, p.section, p.title, p.text, strict=True) for n, x in enumerate(pack_section(text, least, most))]
-            yield pd.DataFrame(rows, columns=["doc", "section_no", "n", "section", "text", "tokens", "has_table"])
+    def rows(p: pa.RecordBatch) -> Iterator[dict]:
+        doc = p.column("doc")
+        for i, (s, title, text) in enumerate(zip(*(p.column(c).to_pylist() for c in ("section", "title", "text")), strict=True)):
+            for n, x in enumerate(pack_section(text, least, most)):
+                yield {"at": i, "section_no": s, "n": n, "section": title, "text": x, "tokens": tokens(x), "has_table": is_table(x)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for p in pieces(b, "text"):
+                out = pa.RecordBatch.from_pylist(list(rows(p)), _PACKED)
+                yield pa.RecordBatch.from_arrays([p.column("doc").take(out.column("at")), *out.columns[1:]], ["doc", *_PACKED.names[1:]])
+            give_back()
 
-    nodes = found.select("doc", "section", "title", "text").mapInPandas(run, f"doc {kind}, section_no bigint, n bigint, section string, text string, tokens bigint, has_table boolean")
+    nodes = found.mapInArrow(run, f"doc {kind}, section_no bigint, n bigint, section string, text string, tokens bigint, has_table boolean")
     idx = F.row_number().over(Window.partitionBy("doc").orderBy("section_no", "n")) - 1
     return nodes.select("doc", idx.cast("bigint").alias("idx"), "section", "text", "tokens", "has_table")
 

@@ -3,11 +3,12 @@
 import random
 import time
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from folioflow.functions import text as T
 from folioflow.functions import vietnamese as V
-from folioflow.operators import audit, cleaning
+from folioflow.operators import audit, batches, cleaning
 
 
 def _near_nodes(seed: int = 1, n: int = 60) -> list[tuple]:
@@ -79,3 +80,10 @@ def test_headings_of_long_nodes_are_counted_in_linear_time(spark):
         assert found.first().n == n
         took[n] = time.time() - began
     assert took[8000] < 30 * max(0.1, took[1000])
+
+
+def test_workers_hold_few_texts_at_once():
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * 1000] * 50 + ["y" * 9000, None, ""]})
+    found = list(batches.pieces(batch, "text", 4000))
+    assert [p.num_rows for p in found] == [4] * 12 + [2, 1, 2]
+    assert pa.Table.from_batches(found).column("text").to_pylist() == batch.column("text").to_pylist()
